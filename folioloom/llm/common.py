@@ -76,3 +76,85 @@ def slices(array: pa.Array, limit: int = 4 << 20):
             begin, total = i, 0
         total += n
     yield begin, len(array)
+
+
+#: Odd multiplier of the polynomial over bytes and its inverse modulo 2**64, and the step of the window polynomial.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2**64)
+_STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64; kept and extended as needed."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        out = np.full(max(n, 1 << 16), base, np.uint64)
+        out[0] = 1
+        _powers[base] = have = np.multiply.accumulate(out)
+    return have[:n]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective scrambling of 64-bit integers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def byte_class(spec: set[int]) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[sorted(spec)] = True
+    return table
+
+
+#: A-Z to a-z, all else unchanged.
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+#: Bytes of words: anything but ASCII white space; and digits, letters, anything beyond ASCII.
+SPACED = byte_class(set(range(256)) - {9, 10, 11, 12, 13, 32})
+ALNUM = byte_class({*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)})
+
+
+class Words:
+    """The words of the texts of one buffer: where each begins and ends, its hash, and the words of each text."""
+
+    def __init__(self, body: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
+        self.body = LOWER[body]
+        n = len(body)
+        is_word = np.zeros(n + 1, bool)
+        is_word[:n] = inside[body]
+        begins = is_word[:n].copy()
+        begins[1:] &= ~is_word[: n - 1]
+        edges = offsets[1:-1]
+        edges = edges[(edges > 0) & (edges < n)]
+        begins[edges] |= is_word[edges]
+        stops = is_word[:n] & ~is_word[1:]
+        stops[edges - 1] |= is_word[edges - 1]
+        self.begin, self.end = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        #: Words of text i: first[i] to first[i + 1].
+        self.first = np.searchsorted(self.begin, offsets)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((self.body.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n), out=sums[1:])
+        self.hash = mixed((sums[self.end] - sums[self.begin]) * _power(_INVERSE, n + 1)[self.begin])
+
+    def windows(self, k: int) -> np.ndarray:
+        """The hash of each k words in a row, whether or not they are of one text; ``len(hash) - k + 1`` of them."""
+        n = len(self.hash) - k + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64)
+        out = self.hash[:n].copy()
+        for j in range(1, k):
+            out *= _STEP
+            out += self.hash[j : j + n]
+        return mixed(out + np.uint64(k))
+
+    def whole(self, k: int) -> np.ndarray:
+        """Whether the window that begins at each place lies in one text."""
+        counts = np.diff(self.first)
+        last = np.repeat(self.first[1:], counts)
+        n = max(0, len(self.hash) - k + 1)
+        return np.arange(n) + k <= last[:n]
+
+    def text(self, i: int, k: int) -> bytes:
+        """Words i to i + k, lower case, joined by single spaces."""
+        return b" ".join(self.body[b:e].tobytes() for b, e in zip(self.begin[i : i + k].tolist(), self.end[i : i + k].tolist(), strict=True))
