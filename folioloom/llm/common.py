@@ -158,3 +158,49 @@ class Words:
     def text(self, i: int, k: int) -> bytes:
         """Words i to i + k, lower case, joined by single spaces."""
         return b" ".join(self.body[b:e].tobytes() for b, e in zip(self.begin[i : i + k].tolist(), self.end[i : i + k].tolist(), strict=True))
+
+
+def connected_components(edges: DataFrame, name: str) -> DataFrame:
+    """(node, root) of every node of ``edges`` (u, v: long); nodes of one component have one root, which is one of them.
+
+    Each round every node goes to the neighbour of least hash, and the edges with
+    it; the number of nodes falls by a factor each round whatever the ids are. All
+    tables between rounds are staged, so joins are between plain scans.
+    """
+    rank = lambda c: F.xxhash64(F.col(c))
+    edges = stage(edges.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), name)
+    roots = None
+    while True:
+        both = edges.select(F.col("u").alias("a"), F.col("v").alias("b")).union(edges.select("v", "u"))
+        near = both.groupBy("a").agg(F.min_by("b", rank("b")).alias("b"))
+        step = stage(near.select("a", F.when(rank("b") < rank("a"), F.col("b")).otherwise(F.col("a")).alias("m")), name)
+        if roots is None:
+            roots = step.select(F.col("a").alias("node"), F.col("m").alias("root"))
+        else:
+            roots = stage(roots.join(step, F.col("root") == F.col("a"), "left").select("node", F.coalesce("m", "root").alias("root")), name)
+        moved = edges.join(step, F.col("u") == F.col("a")).select(F.col("m").alias("x"), "v").join(step, F.col("v") == F.col("a")).select("x", F.col("m").alias("y"))
+        edges = stage(moved.filter("x != y").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct(), name)
+        if edges.isEmpty():
+            return roots
+
+
+#: Most bits of a membership bitmap; it is a filter before an exact join, so a full one costs time and no rows.
+BITMAP_BITS = 1 << 28
+_BITS_OF_ROW = 1 << 15
+
+
+def within_bitmap(members: DataFrame, column: str, over: Column) -> Column:
+    """Whether ``over`` may be among the values of ``members``; false only if it isn't. At most BITMAP_BITS / 8 bytes are broadcast."""
+    bits = 1 << min(BITMAP_BITS.bit_length() - 1, max(20, (16 * members.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits).cast("long"))
+    held = members.select(place(F.col(column)).alias("h")).groupBy(F.floor(F.col("h") / _BITS_OF_ROW).alias("row")).agg(F.bitmap_construct_agg(F.col("h") % _BITS_OF_ROW).alias("map")).collect()
+    table = np.zeros(bits // 8, np.uint8)
+    for r in held:
+        table[int(r.row) * _BITS_OF_ROW // 8 : (int(r.row) + 1) * _BITS_OF_ROW // 8] = np.frombuffer(bytes(r.map), np.uint8)
+    shared = members.sparkSession.sparkContext.broadcast(table)
+
+    def test(places: pa.Array) -> pa.Array:
+        h = np.asarray(places)
+        return pa.array((shared.value[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool))
+
+    return F.arrow_udf(test, "boolean").asNondeterministic()(place(over))
