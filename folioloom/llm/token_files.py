@@ -37,6 +37,8 @@ FILE_OPTIONS = {
 }
 #: Most pieces of text whose ids a worker keeps; when full it starts anew.
 CACHE_PIECES = 1_500_000
+#: Texts whose pieces are looked up together.
+GROUP = 32
 #: Marks that may follow a word; each run of them behind a letter or digit is encoded apart.
 MARKS = ".,;:!?*&$%#|)"
 FILE_SCHEMA = "part int, doc_id bigint, offset bigint, n_tokens bigint, tokens array<int>"
@@ -76,48 +78,59 @@ class PieceEncoder:
         self.ids: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
-        if not self.cuttable or any(t in text for t in self.added):
-            return [text]
         if "\0" in text or _UNSAFE_CUT.search(text):
             return [p for p in _CUT.split(text) if p]
         return text.replace("\n", "\0\n").replace(" ", "\0 ").lstrip("\0").split("\0")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.pieces(t) if t else [] for t in texts]
-        known = self.ids
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        missing = set().union(*cut).difference(known) if cut else set()
-        ends: list[tuple[str, str, str]] = []
-        if self.cuttable:
-            # Marks behind a letter or digit are tokens of their own: only words that are new without them are encoded.
-            for p in missing:
-                head = p.rstrip(MARKS)
-                if head and len(head) < len(p) and head[-1].isalnum() and not any(t in p for t in self.added):
-                    ends.append((p, head, p[len(head) :]))
-            missing.difference_update(e[0] for e in ends)
-            missing.update(x for e in ends for x in e[1:] if x not in known)
-        self._learn(list(missing))
-        known.update((p, known[head] + known[tail]) for p, head, tail in ends)
-        return [b"".join(map(known.__getitem__, p)) for p in cut]
-
-    def _learn(self, missing: list[str]) -> None:
-        alone = [p for p in missing if not (self.cuttable and p[0] in " \n" and not p[-1].isspace()) or any(t in p for t in self.added)]
-        for at in range(0, len(alone), 10_000):
-            part = alone[at : at + 10_000]
-            self.ids.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
+        if not self.cuttable:
+            return self._whole(texts)
+        out: list[bytes] = []
+        for at in range(0, len(texts), GROUP):
+            group = texts[at : at + GROUP]
+            if any(t in text for text in group for t in self.added):
+                out += self._whole(group)
+                continue
+            known = self.ids
+            cut = [self.pieces(t) if t else [] for t in group]
+            missing = set().union(*cut).difference(known)
+            if missing:
+                if len(known) > CACHE_PIECES:
+                    known.clear()
+                    missing = set().union(*cut)
+                self._learn(missing)
+            get = known.__getitem__
+            out += [b"".join(map(get, p)) for p in cut]
+        return out
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, missing: set[str]) -> None:
+        known, ends, words = self.ids, [], set()
+        # Marks behind a letter or digit are tokens of their own: only words that are new without them are encoded.
+        for p in missing:
+            head = p.rstrip(MARKS)
+            if head and len(head) < len(p) and head[-1].isalnum():
+                ends.append((p, head, p[len(head) :]))
+            else:
+                words.add(p)
+        words.update(x for _, head, tail in ends for x in (head, tail) if x not in known)
         # Pieces that begin with white space and end without may stand in a row; the widths of the ids tell where each ends.
-        alone = set(alone)
-        rows = [p for p in missing if p not in alone]
-        for at in range(0, len(rows), 1_000):
-            part = rows[at : at + 1_000]
+        row = [p for p in words if p[0] in " \n" and not p[-1].isspace()]
+        if len(row) < len(words):
+            alone = [p for p in words if p[0] not in " \n" or p[-1].isspace()]
+            known.update(zip(alone, self._whole(alone), strict=True))
+        for at in range(0, len(row), 2_000):
+            part = row[at : at + 2_000]
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
             stops = 4 * (1 + np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) for p in part])))
             data, begin = ids.tobytes(), 0
             for p, stop in zip(part, stops.tolist(), strict=True):
-                self.ids[p] = data[begin:stop]
+                known[p] = data[begin:stop]
                 begin = stop
+        known.update((p, known[head] + known[tail]) for p, head, tail in ends)
 
 
 def encoder(path: str) -> PieceEncoder:
