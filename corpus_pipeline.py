@@ -1,15 +1,60 @@
-"""The corpus pipeline: STAGES applied in turn to the table of documents."""
+"""The corpus pipeline: five stages from the table of documents to token files.
+
+Each stage is a function of (spark, docs, sf_dir); it works on all rows that its
+predecessor kept and, but for the last, returns the columns of ``docs``. The
+tables that a stage writes for itself are in ``spark.checkpoint.dir``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from folioloom.llm import decontamination, language_id, mixing, near_dedup, token_files
+from folioloom.llm.common import read_table, stage, stage_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID by rank-order profiles; texts without letters, or unlike every learned language, go."""
+    return language_id.keep_identified(docs, language_id.learned(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup; of each group the row with the smallest doc_id stays. Five-word shingles, similarity from 0.8."""
+    return near_dedup.drop_near_duplicates(docs, size=5, percent=80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination; documents with a window of a benchmark item go."""
+    return decontamination.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing to target weights; documents are repeated or left out so that sources come near their targets."""
+    return mixing.mix_sources(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files, read back: doc_id, start, n_tokens and the crc32 of the ids of every document of the mix."""
+    out = stage_path(spark, "pipeline-tokens")
+    token_files.write_token_files(docs, out)
+    return token_files.read_token_files(spark, out).select("doc_id", "start", "n_tokens", token_files.ids_crc32("tokens").alias("ids_crc32"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+    ("token_files", tokenize),
+]
+
+#: Language ID and the near-duplicate search aren't SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages on the documents of ``sf_dir``; each result is written and read again for the next."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, apply in STAGES[:-1]:
+        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

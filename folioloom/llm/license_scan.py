@@ -164,8 +164,8 @@ tpl AS (SELECT *, CAST(2 ** ceil(log2(m) - 1e-9) AS BIGINT) AS span FROM sized),
 d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS w FROM documents),
 q AS (SELECT rid, doc_id, list_transform(range(greatest(len(w) - {SHINGLE - 1}, 0)), lambda i: array_to_string(w[i + 1 : i + {SHINGLE}], ' ')) AS ss FROM d),
 p AS (SELECT rid, doc_id, unnest(ss) AS s, unnest(range(len(ss))) AS i FROM q),
-h AS (SELECT p.rid, p.doc_id, tpl.template, tpl.license, tpl.m, tpl.s, unnest([p.i // span, p.i // span - 1]) AS at FROM p JOIN tpl USING (s)),
-f AS (SELECT rid, doc_id, template, license, at, count(DISTINCT s)::DOUBLE / any_value(m)::DOUBLE AS containment FROM h WHERE at >= 0 GROUP BY ALL)
+h AS (SELECT p.rid, p.doc_id, tpl.template, tpl.license, tpl.m, tpl.s, unnest([p.i // span, p.i // span - 1]) AS win FROM p JOIN tpl USING (s)),
+f AS (SELECT rid, doc_id, template, license, win, count(DISTINCT s)::DOUBLE / any_value(m)::DOUBLE AS containment FROM h WHERE win >= 0 GROUP BY ALL)
 SELECT doc_id, license, max(containment) AS containment, count(*) AS n_windows FROM f WHERE containment >= {SHARE} GROUP BY doc_id, license
 """
 
