@@ -11,18 +11,18 @@ the metadata columns touches only their pages.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import read_table, slices, stage_path
+from folioloom.llm.common import byte_class, read_table, slices, stage_path, utf8_buffer
 
 #: Fixed values of the file format.
 END_ID = 2
@@ -36,15 +36,15 @@ FILE_OPTIONS = {
     "parquet.writer.version": "PARQUET_2_0",
 }
 #: Most pieces of text whose ids a worker keeps; when full it starts anew.
-CACHE_PIECES = 1_500_000
-#: Texts whose pieces are looked up together.
-GROUP = 32
+CACHE_PIECES = 600_000
+#: Bytes of text that are encoded together.
+SLICE = 6 << 20
 #: Marks that may follow a word; each run of them behind a letter or digit is encoded apart.
 MARKS = ".,;:!?*&$%#|)"
 FILE_SCHEMA = "part int, doc_id bigint, offset bigint, n_tokens bigint, tokens array<int>"
 
-_UNSAFE_CUT = re.compile(r"\s[ \n]")
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+#: Bytes that may be white space, for a tokenizer or for Python.
+_SPACE = byte_class({9, 10, 11, 12, 13, 28, 29, 30, 31, 32})
 _encoders: dict[str, "PieceEncoder"] = {}
 
 
@@ -57,10 +57,12 @@ def default_tokenizer() -> str:
 class PieceEncoder:
     """Encodes with the tokenizers library, each distinct piece of text once.
 
-    The byte-level pre-tokenizer always ends a token before white space that
-    follows something else, and what it does after such a place doesn't depend
-    on what stands before. So a text may be cut there and its pieces encoded
-    alone. A text with the string of an added token is encoded whole.
+    The byte-level pre-tokenizer always ends a token before a space or a line
+    break that follows something else than white space, and what it does from
+    there on doesn't depend on what stands before. So texts are cut at those
+    places, equal pieces of a batch are brought together by Arrow, and only pieces
+    that the worker hasn't seen yet are encoded. Texts that hold the string of an
+    added token are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -75,59 +77,80 @@ class PieceEncoder:
         self.width = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
         for piece, i in self.tokenizer.get_vocab().items():
             self.width[i] = len(piece)  # a character of a byte-level piece stands for a byte
-        self.ids: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        if "\0" in text or _UNSAFE_CUT.search(text):
-            return [p for p in _CUT.split(text) if p]
-        return text.replace("\n", "\0\n").replace(" ", "\0 ").lstrip("\0").split("\0")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.cuttable:
-            return self._whole(texts)
-        out: list[bytes] = []
-        for at in range(0, len(texts), GROUP):
-            group = texts[at : at + GROUP]
-            if any(t in text for text in group for t in self.added):
-                out += self._whole(group)
-                continue
-            known = self.ids
-            cut = [self.pieces(t) if t else [] for t in group]
-            missing = set().union(*cut).difference(known)
-            if missing:
-                if len(known) > CACHE_PIECES:
-                    known.clear()
-                    missing = set().union(*cut)
-                self._learn(missing)
-            get = known.__getitem__
-            out += [b"".join(map(get, p)) for p in cut]
-        return out
+        self.ids: dict[bytes, bytes] = {}
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, ``end_id`` behind each, and how many each has. Null counts as empty."""
+        whole = np.full(len(texts), not self.cuttable)
+        for t in self.added if self.cuttable else ():
+            whole |= np.asarray(pa.compute.fill_null(pa.compute.match_substring(texts, t), False))
+        if whole.any():
+            parts = [np.array(e.ids + [end_id], "<u4") for e in self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+            return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        body, offsets = utf8_buffer(texts)
+        begins = self._cuts(body, offsets)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(np.append(begins, len(body)).astype(np.int64)), pa.py_buffer(body)]).dictionary_encode()
+        at = np.frombuffer(pieces.dictionary.buffers()[1], np.int64, len(pieces.dictionary) + 1).tolist()
+        data = pieces.dictionary.buffers()[2].to_pybytes() if at[-1] else b""
+        unique = [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        known = self.ids
+        if len(known) > CACHE_PIECES:
+            known.clear()
+        held = list(map(known.get, unique))
+        missing = [p.decode() for p, x in zip(unique, held, strict=True) if x is None]
+        if missing:
+            self._learn(missing)
+            held = [known[p] if x is None else x for p, x in zip(unique, held, strict=True)]
+        # The end id is one piece more, behind the last piece of each text.
+        table = np.frombuffer(b"".join(held) + np.uint32(end_id).tobytes(), "<u4")
+        lengths = np.array([len(x) // 4 for x in held] + [1], np.int64)
+        starts = np.cumsum(lengths) - lengths
+        last = np.searchsorted(begins, offsets[1:])
+        which = np.insert(np.asarray(pieces.indices).astype(np.int64), last, len(unique))
+        n = lengths[which]
+        ends = np.cumsum(n)
+        place = np.repeat((starts[which] - ends + n).astype(np.int32), n)
+        place += np.arange(ends[-1], dtype=np.int32)
+        return table.take(place), np.diff(ends[last + np.arange(len(last))], prepend=0)
+
+    @staticmethod
+    def _cuts(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where pieces begin: at each text that isn't empty, and at spaces and line breaks behind anything but white space."""
+        at = np.flatnonzero((body == 32) | (body == 10))
+        at = at[at > 2]
+        a, b, c = body[at - 1], body[at - 2], body[at - 3]
+        # White space beyond ASCII: U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+        after = _SPACE[a] | ((b == 0xC2) & ((a == 0x85) | (a == 0xA0)))
+        after |= (c == 0xE2) & (b == 0x80) & (((a >= 0x80) & (a <= 0x8A)) | (a == 0xA8) | (a == 0xA9) | (a == 0xAF))
+        after |= ((c == 0xE2) & (b == 0x81) & (a == 0x9F)) | ((b == 0x80) & (a == 0x80) & (c == 0xE3)) | ((c == 0xE1) & (b == 0x9A) & (a == 0x80))
+        out = np.sort(np.concatenate([at[~after], offsets[:-1][np.diff(offsets) > 0]]))
+        return out[np.concatenate([[True], out[1:] != out[:-1]])] if len(out) else out
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, missing: set[str]) -> None:
+    def _learn(self, missing: list[str]) -> None:
         known, ends, words = self.ids, [], set()
         # Marks behind a letter or digit are tokens of their own: only words that are new without them are encoded.
         for p in missing:
             head = p.rstrip(MARKS)
             if head and len(head) < len(p) and head[-1].isalnum():
-                ends.append((p, head, p[len(head) :]))
+                ends.append((p.encode(), head.encode(), p[len(head) :].encode()))
+                words.update((head, p[len(head) :]))
             else:
                 words.add(p)
-        words.update(x for _, head, tail in ends for x in (head, tail) if x not in known)
         # Pieces that begin with white space and end without may stand in a row; the widths of the ids tell where each ends.
+        words = [p for p in words if p.encode() not in known]
         row = [p for p in words if p[0] in " \n" and not p[-1].isspace()]
-        if len(row) < len(words):
-            alone = [p for p in words if p[0] not in " \n" or p[-1].isspace()]
-            known.update(zip(alone, self._whole(alone), strict=True))
+        alone = [p for p in words if p[0] not in " \n" or p[-1].isspace()]
+        known.update(zip([p.encode() for p in alone], self._whole(alone), strict=True))
         for at in range(0, len(row), 2_000):
             part = row[at : at + 2_000]
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            stops = 4 * (1 + np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) for p in part])))
+            coded = [p.encode() for p in part]
+            stops = 4 * (1 + np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p) for p in coded])))
             data, begin = ids.tobytes(), 0
-            for p, stop in zip(part, stops.tolist(), strict=True):
+            for p, stop in zip(coded, stops.tolist(), strict=True):
                 known[p] = data[begin:stop]
                 begin = stop
         known.update((p, known[head] + known[tail]) for p, head, tail in ends)
@@ -156,11 +179,10 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, e
         part = TaskContext.get().partitionId()
         for batch in batches:
             ids_of, texts = batch.column(0), batch.column(1)
-            for a, b in slices(texts):
-                ids = [x + np.uint32(end_id).tobytes() for x in enc.encode(texts.slice(a, b - a).to_pylist())]
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
+            for a, b in slices(texts, SLICE):
+                ids, counts = enc.encode(texts.slice(a, b - a), end_id)
                 ends = np.cumsum(counts)
-                tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
+                tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(b - a, part, np.int32)), ids_of.slice(a, b - a), pa.array(before + ends - counts), pa.array(counts), tokens], ["part", "doc_id", "offset", "n_tokens", "tokens"])
                 before += int(ends[-1])
 
