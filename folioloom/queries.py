@@ -1,6 +1,430 @@
-"""Registered queries of the catalogue engine, and DuckDB SQL for them."""
+"""Registered queries of the catalogue engine, and DuckDB SQL for each.
+
+The test tables hold no books, so each query runs an operator's expression on
+tables that stand in for them: ``conversations`` are the ordered images of a book
+(conv_id the book, turn the place, text the bytes), ``documents`` the raw
+records, ``labels`` an analysis that only some books have, ``pages.url`` file
+paths, ``events.props`` model replies, ``events.value`` / 100 confidences.
+All queries read whole tables and return scalars.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from folioloom import functions as X
+from folioloom.operators.images import explode_pages
+from folioloom.operators.metrics import disk_sizes
+from folioloom.operators.quality import agreement_ok, in_domain
+from folioloom.plans.providers import CONSTANT, EXPONENTIAL
+from folioloom.plans.prompts import image_lines
+from folioloom.plans.schemas import CONDITION_ALIASES
+from folioloom.sources.folders import book_types, select_sources, unsupported_books
+from folioloom.sources.sinks import latest_per_key, written_twice
+
 QUERIES: dict = {}
 ORACLE: dict = {}
+
+
+def query(name: str, sql: str):
+    def register(f):
+        QUERIES[name], ORACLE[name] = f, sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as a listing of files: a system turn is a PDF, a user turn an image, an assistant turn a note."""
+    c = table(spark, sf_dir, "conversations")
+    ext = F.when(F.col("role") == "system", ".PDF").when(F.col("role") == "user", ".Png").otherwise(".txt")
+    name = F.concat(F.format_string("%09d", "turn"), ext)
+    book = F.col("conv_id").cast("string")
+    return c.select(book.alias("book_id"), F.concat(F.lit("/books/"), book, F.lit("/"), name).alias("path"), name.alias("name"), F.octet_length("text").cast("long").alias("length"), "conv_id", "turn", "role")
+
+
+@query(
+    "catalog_records",
+    """
+    WITH i AS (SELECT conv_id, count(*) AS n_images, CAST(sum(length(text)) AS BIGINT) AS total_chars FROM conversations GROUP BY conv_id)
+    SELECT i.conv_id AS book_id, i.n_images, i.total_chars, d.lang, CASE l.quality WHEN 1 THEN 'BAIK' WHEN 0 THEN 'BURUK' END AS condition,
+      CASE WHEN l.doc_id IS NULL THEN 'fallback' ELSE 'success' END AS status
+    FROM i JOIN documents d ON d.doc_id = i.conv_id LEFT JOIN labels l ON l.doc_id = i.conv_id""",
+)
+def catalog_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per book: its gathered images, its raw record, and the condition with a status where the analysis is missing."""
+    images = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("book_id")).agg(F.count(F.lit(1)).alias("n_images"), F.sum(F.length("text").cast("long")).alias("total_chars"))
+    raw = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "lang")
+    condition = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("book_id"), X.condition_of(F.when(F.col("quality") == 1, "c3").when(F.col("quality") == 0, "c6")).alias("condition"), F.lit("success").alias("status"))
+    joined = images.join(raw, "book_id").join(condition, "book_id", "left")
+    return joined.select("book_id", "n_images", "total_chars", "lang", "condition", F.coalesce("status", F.lit("fallback")).alias("status"))
+
+
+@query(
+    "path_parts",
+    """
+    SELECT page_id, list_extract(string_split(regexp_replace(url, '[?#].*$', ''), '/'), -1) AS name, list_extract(string_split(regexp_replace(url, '[?#].*$', ''), '/'), -2) AS book_id,
+      regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages""",
+)
+def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", X.name_of_path("url").alias("name"), X.book_of_path("url").alias("book_id"), F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1).alias("host"))
+
+
+@query(
+    "extension_filter",
+    """
+    WITH n AS (SELECT page_id, list_extract(string_split(regexp_replace(url, '[?#].*$', ''), '/'), -1) AS name FROM pages)
+    SELECT page_id, lower(regexp_extract(name, '[^/.](\\.[^./]+)$', 1)) AS extension FROM n WHERE lower(regexp_extract(name, '[^/.](\\.[^./]+)$', 1)) IN ('.html', '.pdf')""",
+)
+def extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ext = X.extension_of(X.name_of_path("url"))
+    return table(spark, sf_dir, "pages").select("page_id", ext.alias("extension")).filter(F.col("extension").isin(".html", ".pdf"))
+
+
+@query(
+    "book_data_type",
+    """
+    SELECT CAST(conv_id AS VARCHAR) AS book_id, CASE WHEN bool_or(role = 'system') THEN 'pdf' WHEN bool_or(role = 'user') THEN 'images' ELSE 'others' END AS data_type
+    FROM conversations GROUP BY conv_id""",
+)
+def book_data_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return book_types(_files(spark, sf_dir))
+
+
+@query(
+    "source_selection",
+    """
+    WITH t AS (SELECT conv_id, turn, role, bool_or(role = 'system') OVER (PARTITION BY conv_id) AS has_pdf FROM conversations)
+    SELECT CAST(conv_id AS VARCHAR) AS book_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx, CASE WHEN has_pdf THEN 'pdf' ELSE 'image' END AS kind,
+      printf('%09d', turn) || CASE WHEN has_pdf THEN '.PDF' ELSE '.Png' END AS name
+    FROM t WHERE CASE WHEN has_pdf THEN role = 'system' ELSE role = 'user' END""",
+)
+def source_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select_sources(_files(spark, sf_dir)).select("book_id", "idx", "kind", "name")
+
+
+@query(
+    "unsupported_books",
+    "SELECT CAST(conv_id AS VARCHAR) AS book_id FROM conversations WHERE role <> 'user' GROUP BY conv_id HAVING NOT bool_or(role = 'system')",
+)
+def books_without_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books of which only notes and PDFs are looked at, and that have no PDF."""
+    return unsupported_books(_files(spark, sf_dir).filter("role <> 'user'")).select("book_id")
+
+
+@query(
+    "page_explode",
+    "SELECT conv_id, unnest(range(CAST(max(turn) AS BIGINT))) AS page FROM conversations GROUP BY conv_id",
+)
+def page_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A PDF with as many pages as its last turn says; none for 0."""
+    files = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max("turn").alias("n_pages"))
+    return explode_pages(files).select("conv_id", "page")
+
+
+@query(
+    "ordered_pack",
+    """
+    SELECT conv_id, count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS n_bytes, md5(string_agg(text, '|' ORDER BY turn)) AS digest FROM conversations GROUP BY conv_id""",
+)
+def ordered_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(packed.alias("texts"), F.sum(F.octet_length("text").cast("long")).alias("n_bytes"))
+    return rows.select("conv_id", F.size("texts").cast("long").alias("n"), "n_bytes", F.md5(F.array_join("texts", "|").cast("binary")).alias("digest"))
+
+
+@query(
+    "image_file_names",
+    "SELECT conv_id, turn, printf('%s_img_%03d.webp', CAST(conv_id AS VARCHAR), row_number() OVER (PARTITION BY conv_id ORDER BY turn)) AS file_name FROM conversations",
+)
+def image_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.row_number().over(W.partitionBy("conv_id").orderBy("turn"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", X.image_file_name(F.col("conv_id").cast("string"), number).alias("file_name"))
+
+
+@query(
+    "thumbnail_dims",
+    """
+    WITH s AS (SELECT doc_id, (n_chars % 3000 + 1)::DOUBLE AS w, ((n_chars * 7) % 2000 + 1)::DOUBLE AS h FROM documents),
+    f AS (SELECT doc_id, w, h, least(1.0::DOUBLE, 800.0::DOUBLE / w, 800.0::DOUBLE / h) AS k FROM s)
+    SELECT doc_id, greatest(1, CAST(floor(w * k + 0.5::DOUBLE) AS BIGINT)) AS width, greatest(1, CAST(floor(h * k + 0.5::DOUBLE) AS BIGINT)) AS height FROM f""",
+)
+def thumbnail_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = X.fitted_size(F.col("n_chars") % 3000 + 1, (F.col("n_chars") * 7) % 2000 + 1)
+    return table(spark, sf_dir, "documents").select("doc_id", size.alias("s")).select("doc_id", "s.width", "s.height")
+
+
+@query("base64_encode", "SELECT conv_id, turn, to_base64(encode(text)) AS b64, length(to_base64(encode(text))) AS n_chars FROM conversations")
+def base64_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b64 = X.base64_unbroken(F.col("text").cast("binary"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", b64.alias("b64")).withColumn("n_chars", F.length("b64").cast("long"))
+
+
+@query(
+    "size_metrics",
+    """
+    SELECT CAST(conv_id AS VARCHAR) AS book_id, count(*) AS n_files, CAST(sum(strlen(text)) AS BIGINT) AS disk_bytes, round(sum(strlen(text))::DOUBLE / 1048576, 9) AS disk_mb,
+      string_agg(DISTINCT CASE role WHEN 'system' THEN '.pdf' WHEN 'user' THEN '.png' ELSE '.txt' END, ' ' ORDER BY CASE role WHEN 'system' THEN '.pdf' WHEN 'user' THEN '.png' ELSE '.txt' END) AS extensions
+    FROM conversations GROUP BY conv_id""",
+)
+def size_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disk_sizes(_files(spark, sf_dir)).withColumn("disk_mb", F.round("disk_mb", 9))
+
+
+@query(
+    "presence_flags",
+    """
+    SELECT d.doc_id, coalesce(d.text <> '', false) AS has_text, l.doc_id IS NOT NULL AS has_label, CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 + CAST(l.toxic AS BIGINT) END AS n_flags
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+)
+def presence_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("of"), F.when(F.col("toxic") == 1, F.array(F.lit("quality"), F.lit("toxic"))).otherwise(F.array(F.lit("quality"))).alias("flags"))
+    joined = table(spark, sf_dir, "documents").join(flags, F.col("doc_id") == F.col("of"), "left")
+    return joined.select("doc_id", X.present("text").alias("has_text"), F.col("of").isNotNull().alias("has_label"), F.coalesce(F.size("flags").cast("long"), F.lit(0).cast("long")).alias("n_flags"))
+
+
+@query("extension_sets", "SELECT conv_id, string_agg(DISTINCT role, ' ' ORDER BY role) AS roles, count(DISTINCT role) AS n_roles FROM conversations GROUP BY conv_id")
+def extension_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_set("role")).alias("s"))
+    return rows.select("conv_id", F.array_join("s", " ").alias("roles"), F.size("s").cast("long").alias("n_roles"))
+
+
+@query("json_decode", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, true AS ok, CAST(json_extract(props, '$.k') AS BIGINT) AS k_fenced FROM events")
+def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies decoded as they are, and again inside a fence with a comment and a trailing comma."""
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    fenced = F.concat(F.lit("Here it is:\n```json\n"), F.regexp_replace("props", r"\}$", ", // note\n}"), F.lit("\n```"))
+    rows = table(spark, sf_dir, "events").select("event_id", F.explode(F.array(X.lenient_json("props", schema))).alias("a"), fenced.alias("fenced"))
+    rows = rows.select("event_id", "a", F.explode(F.array(X.lenient_json("fenced", schema))).alias("b"))
+    return rows.select("event_id", F.col("a.record.k").alias("k"), (F.col("a.ok") & F.col("b.ok")).alias("ok"), F.col("b.record.k").alias("k_fenced"))
+
+
+@query(
+    "enum_decode",
+    """
+    SELECT doc_id, CASE lang WHEN 'en' THEN 'BARU' WHEN 'de' THEN 'SANGAT_BAIK' WHEN 'fr' THEN 'BURUK' END AS condition, CASE lang WHEN 'en' THEN 'HARDCOVER' WHEN 'de' THEN 'FOTOKOPI' END AS print_type FROM documents""",
+)
+def enum_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alias = F.when(F.col("lang") == "en", "c1").when(F.col("lang") == "de", " C2 ").when(F.col("lang") == "fr", "buruk").otherwise("c9")
+    kind = F.when(F.col("lang") == "en", "pt1").when(F.col("lang") == "de", "Fotokopi").otherwise("pt")
+    return table(spark, sf_dir, "documents").select("doc_id", X.condition_of(alias).alias("condition"), X.print_type_of(kind).alias("print_type"))
+
+
+@query("double_write_compat", "SELECT doc_id, 2 * count(*) AS n FROM documents GROUP BY doc_id")
+def double_write_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_twice(table(spark, sf_dir, "documents").select("doc_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "single_write_idempotent",
+    "SELECT conv_id, turn, role, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS n FROM conversations) WHERE n = 1",
+)
+def single_write_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_per_key(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+
+
+@query(
+    "raw_to_json",
+    "SELECT d.doc_id, CAST(to_json({'id': d.doc_id, 'source': d.source, 'quality': l.quality}) AS VARCHAR) AS record FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id",
+)
+def raw_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("of"), "quality")
+    rows = table(spark, sf_dir, "documents").join(labels, F.col("doc_id") == F.col("of"), "left")
+    return rows.select("doc_id", F.to_json(F.struct(F.col("doc_id").alias("id"), "source", "quality"), {"ignoreNullFields": "false"}).alias("record"))
+
+
+@query("prompt_render", "SELECT conv_id, string_agg(printf('Image %d of %d', i, n), chr(10) ORDER BY i) AS prompt FROM (SELECT conv_id, count(*) AS n, unnest(range(1, count(*) + 1)) AS i FROM conversations GROUP BY conv_id) GROUP BY conv_id")
+def prompt_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select("conv_id", image_lines(F.col("n")).alias("prompt"))
+
+
+@query("phase_eligibility", "SELECT conv_id FROM conversations WHERE role = 'user' INTERSECT SELECT conv_id FROM conversations WHERE role = 'assistant'")
+def phase_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books that both analyses of the first phase have a row for: one pass and one shuffle instead of an intersection of two scans."""
+    seen = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.bool_or(F.col("role") == "user").alias("a"), F.bool_or(F.col("role") == "assistant").alias("b"))
+    return seen.filter("a and b").select("conv_id")
+
+
+@query(
+    "fallback_defaults",
+    """
+    SELECT d.doc_id, l.doc_id IS NULL AS is_fallback, CASE WHEN l.doc_id IS NULL THEN NULL WHEN l.quality = 1 THEN 'BAIK' ELSE 'BURUK' END AS condition,
+      CASE WHEN l.doc_id IS NULL THEN '' ELSE d.source END AS cover, CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END AS n_names, CASE WHEN l.doc_id IS NULL THEN false ELSE l.toxic = 1 END AS is_fiction,
+      CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END AS n_languages, CASE WHEN l.doc_id IS NULL THEN NULL ELSE d.lang END AS publisher
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+)
+def fallback_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each analysis's default where it has no row: nothing, empty text, empty lists or false, by contract."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("of"), "quality", "toxic")
+    rows = table(spark, sf_dir, "documents").join(labels, F.col("doc_id") == F.col("of"), "left")
+    there = F.col("of").isNotNull()
+    names = F.coalesce(F.when(there, F.array("source")), F.array().cast("array<string>"))
+    langs = F.coalesce(F.when(there, F.array("lang")), F.array().cast("array<string>"))
+    return rows.select(
+        "doc_id",
+        (~there).alias("is_fallback"),
+        F.when(there, X.condition_of(F.when(F.col("quality") == 1, "c3").otherwise("c6"))).alias("condition"),
+        F.when(there, F.col("source")).otherwise("").alias("cover"),
+        F.size(names).alias("n_names"),
+        F.coalesce(F.when(there, F.col("toxic") == 1), F.lit(False)).alias("is_fiction"),
+        F.size(langs).alias("n_languages"),
+        F.when(there, F.col("lang")).alias("publisher"),
+    )
+
+
+@query(
+    "isbn_check",
+    """
+    WITH d AS (SELECT doc_id, regexp_extract(text, '[0-9][0-9-]+', 0) AS digits FROM documents)
+    SELECT doc_id, regexp_matches(replace(digits, '-', ''), '^[0-9]{13}$') AS isbn_13, regexp_matches(replace(digits, '-', ''), '^[0-9]{10}$') AS isbn_10,
+      regexp_matches(replace(digits, '-', '') || 'X', '^[0-9]{9}[0-9Xx]$') AS isbn_10_with_x, coalesce(TRY_CAST(digits AS BIGINT) BETWEEN 1000 AND 9999, false) AS is_year
+    FROM d""",
+)
+def isbn_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract("text", "[0-9][0-9-]+", 0).alias("digits"))
+    year = F.coalesce(F.col("digits").try_cast("bigint").between(1000, 9999), F.lit(False))
+    return rows.select("doc_id", X.isbn_ok("digits", 13).alias("isbn_13"), X.isbn_ok("digits", 10).alias("isbn_10"), X.isbn_ok(F.concat("digits", F.lit("X")), 10, final_x=True).alias("isbn_10_with_x"), year.alias("is_year"))
+
+
+@query(
+    "confidence_band",
+    """
+    WITH e AS (SELECT event_id, value / 100 AS v FROM events)
+    SELECT event_id, CASE WHEN v < 0 OR v > 1 THEN 'out_of_range' WHEN v >= 0.9::DOUBLE THEN 'very_high' WHEN v >= 0.7::DOUBLE THEN 'high' WHEN v >= 0.5::DOUBLE THEN 'medium' WHEN v >= 0.3::DOUBLE THEN 'low' WHEN v >= 0 THEN 'very_low' END AS band,
+      v BETWEEN 0 AND 1 AS in_range FROM e""",
+)
+def confidence_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("value") / 100
+    return table(spark, sf_dir, "events").select("event_id", X.confidence_band(v).alias("band"), v.between(0, 1).alias("in_range"))
+
+
+@query(
+    "domain_checks",
+    """
+    SELECT event_id, event_type IN ('click', 'view', 'purchase') AS in_domain,
+      CAST(CASE event_type WHEN 'click' THEN 4 WHEN 'view' THEN 0 WHEN 'purchase' THEN 6 ELSE -1 END AS BIGINT) AS severity_rank FROM events""",
+)
+def domain_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    word = F.when(F.col("event_type") == "click", "Major").when(F.col("event_type") == "view", "none").when(F.col("event_type") == "purchase", " critical").otherwise("awful")
+    return table(spark, sf_dir, "events").select("event_id", in_domain(F.col("event_type"), ("click", "view", "purchase")).alias("in_domain"), F.coalesce(X.severity_rank(word).cast("long"), F.lit(-1).cast("long")).alias("severity_rank"))
+
+
+@query(
+    "image_number_range",
+    """
+    SELECT conv_id, count(*) AS n, min(turn) + 1 AS first_number, max(turn) + 1 AS last_number, max(turn) = count(*) - 1 AND min(turn) = 0 AS numbers_ok FROM conversations GROUP BY conv_id""",
+)
+def image_number_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), (F.min("turn") + 1).alias("first_number"), (F.max("turn") + 1).alias("last_number"))
+    return rows.withColumn("numbers_ok", (F.col("last_number") == F.col("n")) & (F.col("first_number") == 1))
+
+
+@query("ascii_safe", "SELECT doc_id, strlen(text) = length(text) AS is_ascii FROM documents")
+def ascii_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The length of the text in bytes and characters decides as the pattern does, without matching every character.
+    return table(spark, sf_dir, "documents").select("doc_id", (F.octet_length("text") == F.length("text")).alias("is_ascii"))
+
+
+@query("ascii_safe_pattern", "SELECT item_id, regexp_full_match(text, '[\\x00-\\x7F]*', 's') AS is_ascii FROM benchmark")
+def ascii_safe_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select("item_id", X.ascii_safe("text").alias("is_ascii"))
+
+
+@query(
+    "evidence_agreement",
+    "SELECT l.doc_id, l.quality, l.toxic, (trim(lower(b.text)) = trim(lower(d.text))) = (l.quality = 1) AS flag_ok FROM labels l JOIN benchmark b ON b.item_id = l.doc_id JOIN documents d ON d.doc_id = l.doc_id",
+)
+def evidence_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("item"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = labels.join(items, "doc_id").join(docs, "doc_id")
+    return rows.select("doc_id", "quality", "toxic", agreement_ok(F.col("item"), F.col("text"), F.col("quality") == 1).alias("flag_ok"))
+
+
+@query(
+    "ner_dedup",
+    "SELECT doc_id, len(string_split(text, ' ')) AS n_candidates, len(list_distinct(string_split(text, ' '))) AS n_names, len(list_distinct(string_split(text, ' '))) = len(string_split(text, ' ')) AS is_distinct FROM documents",
+)
+def ner_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ").alias("c"))
+    rows = rows.select("doc_id", F.size("c").cast("long").alias("n_candidates"), F.size(F.array_distinct("c")).cast("long").alias("n_names"))
+    return rows.withColumn("is_distinct", F.col("n_candidates") == F.col("n_names"))
+
+
+@query(
+    "retry_schedule",
+    """
+    SELECT 'exponential' AS policy, k AS attempt, CAST(least(floor(300 * 1.5::DOUBLE ** k), 10000) AS BIGINT) AS delay_ms FROM range(2) AS r(k)
+    UNION ALL SELECT 'constant', k, 200 FROM range(3) AS r(k)""",
+)
+def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(name, k, d) for name, p in (("exponential", EXPONENTIAL), ("constant", CONSTANT)) for k, d in enumerate(p.delays_ms())]
+    return spark.createDataFrame(rows, "policy string, attempt bigint, delay_ms bigint")
+
+
+@query("round_robin", "SELECT conv_id % 2 AS client, count(DISTINCT conv_id) AS n_books, count(*) AS n_calls FROM conversations GROUP BY conv_id % 2")
+def round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per_book = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_book.groupBy((F.col("conv_id") % 2).alias("client")).agg(F.count(F.lit(1)).alias("n_books"), F.sum("n").alias("n_calls"))
+
+
+@query(
+    "fallback_chain",
+    """
+    SELECT d.doc_id, coalesce(CASE WHEN l.quality = 1 THEN 'label' END, b.text, d.source) AS answer, CASE WHEN l.quality = 1 THEN 1 WHEN b.text IS NOT NULL THEN 2 ELSE 3 END AS answered_by
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN benchmark b ON b.item_id = d.doc_id""",
+)
+def fallback_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    first = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "label").alias("a"))
+    second = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("b"))
+    rows = docs.join(first, "doc_id", "left").join(second, "doc_id", "left")
+    by = F.when(F.col("a").isNotNull(), 1).when(F.col("b").isNotNull(), 2).otherwise(3)
+    return rows.select("doc_id", F.coalesce("a", "b", "source").alias("answer"), by.alias("answered_by"))
+
+
+@query(
+    "json_file_names",
+    """
+    SELECT doc_id, CAST(doc_id AS VARCHAR) || '_book_condition_data.json' AS file_name, len(to_json({'Condition': CASE lang WHEN 'en' THEN 'BARU' END, 'PrintType': source})::VARCHAR) AS n_chars FROM documents""",
+)
+def json_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = F.to_json(F.struct(X.condition_of(F.when(F.col("lang") == "en", "c1")).alias("Condition"), F.col("source").alias("PrintType")), {"ignoreNullFields": "false"})
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit("_book_condition_data.json")).alias("file_name"), F.length(record).cast("long").alias("n_chars"))
+
+
+@query(
+    "condition_ranks",
+    "SELECT CASE quality WHEN 1 THEN 'BAIK' ELSE 'BURUK' END AS condition, CASE quality WHEN 1 THEN 3 ELSE 6 END AS rank, count(*) AS n FROM labels GROUP BY quality",
+)
+def condition_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = table(spark, sf_dir, "labels").groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+    condition = X.condition_of(F.when(F.col("quality") == 1, "c3").otherwise("c6"))
+    return per.select(condition.alias("condition"), F.array_position(F.array(*[F.lit(v) for v in CONDITION_ALIASES.values()]), condition).cast("int").alias("rank"), "n")
+
+
+@query(
+    "vector_topk",
+    """
+    WITH p AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) / sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]) * list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[])) AS s
+      FROM embeddings q JOIN embeddings v ON v.vec_id <> q.vec_id WHERE q.vec_id < 5)
+    SELECT query_id, vec_id, round(s, 4) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vec_id) AS n FROM p) WHERE n <= 5""",
+)
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search over vectors, an extension: the 5 most similar of all vectors to each of five stated queries, exact."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    asked = vectors.filter("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("e").alias("q"))  # five rows
+    pairs = vectors.join(F.broadcast(asked), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", (dot("q", "e") / F.sqrt(dot("q", "q") * dot("e", "e"))).alias("s"))
+    best = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc(F.round("s", 9)), "vec_id"))
+    return pairs.withColumn("n", best).filter("n <= 5").select("query_id", "vec_id", F.round("s", 4).alias("similarity"))
+
+
