@@ -64,7 +64,7 @@ def utf8_buffer(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(array: pa.Array, limit: int = 4 << 20):
+def slices(array: pa.Array, limit: int = 1 << 20):
     """Parts of a string array of about ``limit`` bytes each, at least one text, so that the work arrays of one part stay small."""
     if not len(array):
         return
