@@ -17,14 +17,15 @@
    sets, and again only a spanning forest of the links leaves a task.
 5. Components of the links are the answer.
 
-At a Jaccard similarity of 0.85, a pair is missed by its signature with a
-probability of 6e-5 (fewer than T of K agreements), and only if no other
-candidates connect the two.
+T follows from the least similarity: a pair just at it agrees in fewer than T of
+K coordinates with a chance of at most 1e-4 (6e-5 at 0.85, T = 13), and is then
+missed only if no other candidates connect the two.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,8 @@ from folioloom.llm.common import SPACED, Words, connected_components, mixed, rea
 
 #: Words of a shingle; least similarity in percent.
 SHINGLE, PERCENT = 3, 85
-#: Coordinates of a signature, agreements that make a candidate, coordinates that are posted.
-K, T = 24, 13
-PREFIX = K - T + 1
+#: Coordinates of a signature, and the greatest chance that a pair at the threshold has too few agreements.
+K, MISSED = 24, 1e-4
 #: Rows of a block of a posting list; documents, and shingles in all, of a block of a cluster.
 LIST_BLOCK, CLUSTER_BLOCK, CLUSTER_SHINGLES = 512, 96, 1 << 20
 
@@ -68,6 +68,16 @@ def signature(own: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def agreements(percent: int) -> int:
+    """The greatest T for which a pair of that similarity agrees in fewer than T of K coordinates with a chance of at most MISSED."""
+    p, below = percent / 100, 0.0
+    for t in range(K + 1):
+        below += math.comb(K, t) * p**t * (1 - p) ** (K - t)
+        if below > MISSED:
+            return max(1, t)
+    return K
+
+
 def digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.astype("<u8").tobytes(), digest_size=16).digest()
 
@@ -138,8 +148,8 @@ def group_bounds(table: pa.Table, keys: int) -> np.ndarray:
     return np.concatenate([[0], change, [table.num_rows]])
 
 
-def match_edges(batches):
-    """Rows (list, bi, bj, block, rep, sig) sorted by the first three; edges of pairs with at least T agreements."""
+def match_edges(batches, least: int):
+    """Rows (list, bi, bj, block, rep, sig) sorted by the first three; edges of pairs with at least ``least`` agreements."""
     for table in by_group(batches, 3):
         bounds = group_bounds(table, 3)
         sizes = np.diff(bounds)
@@ -155,7 +165,7 @@ def match_edges(batches):
             todo = rows[forest.label[rows] != forest.label[rows + d]]
             todo = todo[~across[todo] | (block[todo] != block[todo + d])]
             if len(todo):
-                todo = todo[(sig[todo] == sig[todo + d]).sum(1) >= T]
+                todo = todo[(sig[todo] == sig[todo + d]).sum(1) >= least]
                 if len(todo):
                     edges += forest.join(todo, todo + d)
         yield edge_batch(rep, edges)
@@ -232,7 +242,7 @@ def near_duplicates(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         docs.filter("n > 0").groupBy("key").agg(F.min("uid").alias("rep"), F.min("rk").alias("rk"), F.min("doc_id").alias("low"), F.min_by("uid", order).alias("low_uid"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("sig").alias("sig")),
         "op7-classes",
     )
-    clusters = connected_components(_candidates(classes), "op7-clusters")
+    clusters = connected_components(_candidates(classes, agreements(percent)), "op7-clusters")
     links = stage(_links(rows.select(row_key, text.alias("text")), classes, clusters, size, percent), "op7-links")
     components = connected_components(links, "op7-components")
     grouped = classes.select("key", "rep", "low", "low_uid", "rows").join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
@@ -247,17 +257,17 @@ def near_duplicates(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     return found.select("uid", "doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), (alone | (F.col("uid") == F.col("first_uid"))).alias("stays"))
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """Edges (u, v) of a spanning forest of the pairs with at least T agreements."""
+def _candidates(classes: DataFrame, least: int) -> DataFrame:
+    """Edges (u, v) of a spanning forest of the pairs with at least ``least`` agreements."""
     key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
-    posts = classes.select("rep", F.posexplode(F.slice("sig", 1, PREFIX)).alias("pos", "value")).select("rep", key.alias("list"))
+    posts = classes.select("rep", F.posexplode(F.slice("sig", 1, K - least + 1)).alias("pos", "value")).select("rep", key.alias("list"))
     lists = stage(posts.groupBy("list").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "op7-lists")
     block, pairs = in_blocks(F.ceil(F.col("n") / LIST_BLOCK).cast("long"), F.col("rep"))
     member = stage(posts.join(lists, "list").select("list", "rep", "n"), "op7-posts")
     placed = member.join(classes.select("rep", "sig"), "rep").select("list", block.alias("block"), "rep", "sig", F.explode(pairs).alias("p"))
     placed = placed.select("list", "p.bi", "p.bj", "block", "rep", "sig")
     grouped = placed.repartition("list", "bi", "bj").sortWithinPartitions("list", "bi", "bj", "rep")
-    return stage(grouped.mapInArrow(match_edges, "u bigint, v bigint").distinct(), "op7-edges")
+    return stage(grouped.mapInArrow(lambda batches: match_edges(batches, least), "u bigint, v bigint").distinct(), "op7-edges")
 
 
 def _links(texts: DataFrame, classes: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
