@@ -60,7 +60,7 @@ def uniform(doc_id, seed: str):
 
 
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """Each row of ``docs`` as struct ``row`` with size, source_size, target and copies (0 to ``most``).
+    """Each row of ``docs`` as struct ``row`` with source, source_size, target, rate and copies (0 to ``most``).
 
     Null text has size 0. Rows with the same doc_id draw alike. A source without
     words has target 0 and rate 0. Columns of ``docs`` with the names used here
