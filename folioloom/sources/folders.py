@@ -134,3 +134,21 @@ def load_contents(spark: SparkSession, sources: DataFrame) -> DataFrame:
         return sources.withColumn("content", F.lit(None).cast("binary"))
     read = spark.read.format("binaryFile").load(paths).select("path", "content")
     return sources.join(read, "path", "left")
+
+
+def any_case_glob(extensions: tuple[str, ...]) -> str:
+    """A glob for names that end in one of the suffixes in any mix of cases: Hadoop's globs know cases, file names don't."""
+    each = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions]
+    return "*{" + ",".join(each) + "}"
+
+
+def load_root(spark: SparkSession, root: str, config: SourceConfig = SourceConfig()) -> DataFrame:
+    """The sources of all books below ``root`` with content, without a list of paths on the driver.
+
+    The suffix filter goes into the listing, so files of other kinds are never
+    opened; contents meet the chosen sources in a join on the path. Empty files
+    are left out, as ``binaryFile`` leaves them out.
+    """
+    sources = select_sources(scan_root(spark, root), config)
+    read = spark.read.format("binaryFile").option("pathGlobFilter", any_case_glob(config.supported)).load(f"{root.rstrip('/')}/*")
+    return sources.join(read.select("path", "content"), "path")

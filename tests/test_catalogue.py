@@ -14,7 +14,7 @@ from folioloom.plans.flow import build_catalogue
 from folioloom.plans.prompts import render
 from folioloom.plans.providers import EXPONENTIAL, FirstOf, ProviderError, Registry, ReplayProvider, Request, RetryPolicy, Retrying, RoundRobin, StubProvider
 from folioloom.plans.schemas import ANALYSES, CATALOGUE
-from folioloom.sources.folders import Settings, SourceConfig, list_folders, load_contents, scan_root, select_sources, supported_files, unsupported_books
+from folioloom.sources.folders import Settings, SourceConfig, any_case_glob, list_folders, load_contents, load_root, scan_root, select_sources, supported_files, unsupported_books
 from folioloom.sources.sinks import image_files, prepare_folder, read_catalogue, save_images, save_json, write_catalogue
 from folioloom.streaming.ingest import each_batch, new_files
 
@@ -69,6 +69,13 @@ def test_scan_root_is_not_recursive(spark, books):
     assert ("mixed", "c.png") not in got and ("mixed", "b.PNG") in got and ("pdf", "doc.pdf") in got
 
 
+def test_load_root(spark, books):
+    assert any_case_glob((".x1",)) == "*{.[xX]1}"
+    got = {(r.book_id, r.idx, r.name, bytes(r.content)) for r in load_root(spark, str(books)).collect()}
+    assert {(b, i, n) for b, i, n, _ in got} == {("mixed", 0, "a.png"), ("mixed", 1, "b.PNG"), ("pdf", 0, "doc.pdf")}
+    assert ("mixed", 1, "b.PNG", b"bb") in got
+
+
 def test_source_config():
     assert SourceConfig((), (".PDF",)).pdfs == (".pdf",)
     assert ".webp" in SourceConfig().supported and SourceConfig((".X",)).images == (".x",)
