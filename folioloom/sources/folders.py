@@ -7,9 +7,10 @@ filters on names and sizes come before any content is read.
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -89,9 +90,15 @@ def list_folders(spark: SparkSession, folders: list[str]) -> tuple[DataFrame, Da
     return spark.createDataFrame(files, LISTING), spark.createDataFrame(rejects, REJECTS)
 
 
+def in_book_of(path: str, root: str) -> Column:
+    """Whether a path is a file of a folder directly below ``root``; files that lie in ``root`` itself are of no book."""
+    bare = re.sub(r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "", root).rstrip("/")
+    return F.col(path).rlike(re.escape(bare) + r"/[^/]+/[^/]+$")
+
+
 def scan_root(spark: SparkSession, root: str) -> DataFrame:
     """Files directly in each folder below ``root``, as a distributed listing; contents aren't opened. Empty files are left out."""
-    listed = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*").select("path", "length")
+    listed = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*").select("path", "length").filter(in_book_of("path", root))
     return listed.select(book_of_path("path").alias("book_id"), "path", name_of_path("path").alias("name"), "length")
 
 
