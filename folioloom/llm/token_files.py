@@ -35,16 +35,16 @@ FILE_OPTIONS = {
     "parquet.dictionary.page.size": str(1 << 20),
     "parquet.writer.version": "PARQUET_2_0",
 }
-#: Most pieces of text whose ids a worker keeps; when full it starts anew.
-CACHE_PIECES = 600_000
+#: Pieces of text whose ids a worker keeps before it begins a new set; of the last set those stay that are met again.
+CACHE_PIECES = 250_000
 #: Bytes of text that are encoded together.
-SLICE = 6 << 20
-#: Marks that may follow a word; each run of them behind a letter or digit is encoded apart.
-MARKS = ".,;:!?*&$%#|)"
+SLICE = 4 << 20
 FILE_SCHEMA = "part int, doc_id bigint, offset bigint, n_tokens bigint, tokens array<int>"
 
 #: Bytes that may be white space, for a tokenizer or for Python.
 _SPACE = byte_class({9, 10, 11, 12, 13, 28, 29, 30, 31, 32})
+_MARK = byte_class(set(b".,;:!?*&$%#|)"))
+_ALNUM = byte_class({*range(48, 58), *range(65, 91), *range(97, 123)})
 _encoders: dict[str, "PieceEncoder"] = {}
 
 
@@ -58,8 +58,9 @@ class PieceEncoder:
     """Encodes with the tokenizers library, each distinct piece of text once.
 
     The byte-level pre-tokenizer always ends a token before a space or a line
-    break that follows something else than white space, and what it does from
-    there on doesn't depend on what stands before. So texts are cut at those
+    break that follows something else than white space, and before a mark that
+    follows a letter or digit, and what it does from there on doesn't depend on
+    what stands before. So texts are cut at those
     places, equal pieces of a batch are brought together by Arrow, and only pieces
     that the worker hasn't seen yet are encoded. Texts that hold the string of an
     added token are encoded whole.
@@ -78,6 +79,7 @@ class PieceEncoder:
         for piece, i in self.tokenizer.get_vocab().items():
             self.width[i] = len(piece)  # a character of a byte-level piece stands for a byte
         self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, ``end_id`` behind each, and how many each has. Null counts as empty."""
@@ -95,11 +97,16 @@ class PieceEncoder:
         unique = [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         known = self.ids
         if len(known) > CACHE_PIECES:
-            known.clear()
+            self.ids, self.older = {}, known
+            known = self.ids
         held = list(map(known.get, unique))
-        missing = [p.decode() for p, x in zip(unique, held, strict=True) if x is None]
+        missing = [p for p, x in zip(unique, held, strict=True) if x is None]
+        if missing and self.older:
+            known.update((p, x) for p, x in zip(missing, map(self.older.get, missing), strict=True) if x is not None)
+            missing = [p for p in missing if p not in known]
         if missing:
             self._learn(missing)
+        if None in held:
             held = [known[p] if x is None else x for p, x in zip(unique, held, strict=True)]
         # The end id is one piece more, behind the last piece of each text.
         table = np.frombuffer(b"".join(held) + np.uint32(end_id).tobytes(), "<u4")
@@ -115,7 +122,8 @@ class PieceEncoder:
 
     @staticmethod
     def _cuts(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Where pieces begin: at each text that isn't empty, and at spaces and line breaks behind anything but white space."""
+        """Where pieces begin: at each text that isn't empty, at spaces and line breaks behind anything but white space, and at marks behind ASCII letters and digits."""
+        marks = np.flatnonzero(_MARK[body[1:]] & _ALNUM[body[:-1]]) + 1
         at = np.flatnonzero((body == 32) | (body == 10))
         at = at[at > 2]
         a, b, c = body[at - 1], body[at - 2], body[at - 3]
@@ -123,37 +131,31 @@ class PieceEncoder:
         after = _SPACE[a] | ((b == 0xC2) & ((a == 0x85) | (a == 0xA0)))
         after |= (c == 0xE2) & (b == 0x80) & (((a >= 0x80) & (a <= 0x8A)) | (a == 0xA8) | (a == 0xA9) | (a == 0xAF))
         after |= ((c == 0xE2) & (b == 0x81) & (a == 0x9F)) | ((b == 0x80) & (a == 0x80) & (c == 0xE3)) | ((c == 0xE1) & (b == 0x9A) & (a == 0x80))
-        out = np.sort(np.concatenate([at[~after], offsets[:-1][np.diff(offsets) > 0]]))
+        out = np.sort(np.concatenate([at[~after], marks, offsets[:-1][np.diff(offsets) > 0]]))
         return out[np.concatenate([[True], out[1:] != out[:-1]])] if len(out) else out
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, missing: list[str]) -> None:
-        known, ends, words = self.ids, [], set()
-        # Marks behind a letter or digit are tokens of their own: only words that are new without them are encoded.
-        for p in missing:
-            head = p.rstrip(MARKS)
-            if head and len(head) < len(p) and head[-1].isalnum():
-                ends.append((p.encode(), head.encode(), p[len(head) :].encode()))
-                words.update((head, p[len(head) :]))
-            else:
-                words.add(p)
+    def _learn(self, missing: list[bytes]) -> None:
+        """Encode pieces that aren't known, and put them among the known ones."""
+        known = self.ids
         # Pieces that begin with white space and end without may stand in a row; the widths of the ids tell where each ends.
-        words = [p for p in words if p.encode() not in known]
-        row = [p for p in words if p[0] in " \n" and not p[-1].isspace()]
-        alone = [p for p in words if p[0] not in " \n" or p[-1].isspace()]
-        known.update(zip([p.encode() for p in alone], self._whole(alone), strict=True))
-        for at in range(0, len(row), 2_000):
-            part = row[at : at + 2_000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            coded = [p.encode() for p in part]
-            stops = 4 * (1 + np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(p) for p in coded])))
-            data, begin = ids.tobytes(), 0
-            for p, stop in zip(coded, stops.tolist(), strict=True):
-                known[p] = data[begin:stop]
-                begin = stop
-        known.update((p, known[head] + known[tail]) for p, head, tail in ends)
+        row = [p for p in missing if (p[0] == 32 or p[0] == 10) and (32 < p[-1] < 127 or not _ends_in(p, str.isspace))]
+        if len(row) < len(missing):
+            alone = list(set(missing).difference(row))
+            known.update(zip(alone, self._whole([p.decode() for p in alone]), strict=True))
+        for at in range(0, len(row), 4_000):
+            part = row[at : at + 4_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            stops = (4 * (1 + np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(list(map(len, part)))))).tolist()
+            data = ids.tobytes()
+            known.update(zip(part, map(data.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
+
+
+def _ends_in(piece: bytes, kind) -> bool:
+    """Whether the last character of a piece is of a kind."""
+    return kind(chr(piece[-1]) if piece[-1] < 128 else piece[-4:].decode("utf-8", "ignore")[-1])
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -187,7 +189,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, e
                 before += int(ends[-1])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows.repartitionByRange(n, "doc_id", F.crc32(F.col("text").cast("binary"))).sortWithinPartitions("doc_id", F.crc32(F.col("text").cast("binary")), "text").mapInArrow(encode, FILE_SCHEMA).write.options(**FILE_OPTIONS).parquet(out)
+    rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.crc32(F.col("text").cast("binary")), "text").mapInArrow(encode, FILE_SCHEMA).write.options(**FILE_OPTIONS).parquet(out)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -205,8 +207,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 def ids_crc32(tokens: pa.Array) -> pa.Array:
     """Unsigned crc32 of each list of ids as little-endian unsigned 32-bit integers."""
     offsets = np.asarray(tokens.offsets)
-    flat = np.asarray(tokens.values).astype("<u4").tobytes()
-    return pa.array([zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.int64())
+    flat = memoryview(np.ascontiguousarray(tokens.values, "<i4")).cast("B")
+    return pa.array([zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.int64())
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
