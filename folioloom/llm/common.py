@@ -6,6 +6,7 @@ and the driver share; a lost executor therefore loses nothing that is staged.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -28,8 +29,29 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Paths of this process's staged tables, in the order of their making.
+_staged: list[str] = []
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/folioloom/{name}-{uuid.uuid4().hex}"
+    _staged.append(f"{shared_dir(spark)}/folioloom/{name}-{uuid.uuid4().hex}")
+    return _staged[-1]
+
+
+def staged_since(mark: int = 0) -> list[str]:
+    """Paths of tables staged after the first ``mark`` ones."""
+    return _staged[mark:]
+
+
+def drop_staged(docs: DataFrame, paths: list[str]) -> list[str]:
+    """Delete staged tables of steps whose results have been written, but for those that ``docs`` reads; these are returned."""
+    spark, read = docs.sparkSession, docs.inputFiles()
+    kept = [path for path in paths if any(path.rpartition("/")[2] in f for f in read)]
+    for path in paths:
+        if path not in kept:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return kept
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -64,10 +86,20 @@ def utf8_buffer(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system; a worker is kept for later tasks, and what it holds counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library has no such call
+
+
 def slices(array: pa.Array, limit: int = 1 << 20):
     """Parts of a string array of about ``limit`` bytes each, at least one text, so that the work arrays of one part stay small."""
     if not len(array):
         return
+    release()
     lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(array), 0), dtype=np.int64)
     begin, total = 0, 0
     for i, n in enumerate(lengths.tolist()):
@@ -76,6 +108,7 @@ def slices(array: pa.Array, limit: int = 1 << 20):
             begin, total = i, 0
         total += n
     yield begin, len(array)
+    release()
 
 
 #: Odd multiplier of the polynomial over bytes and its inverse modulo 2**64, and the step of the window polynomial.

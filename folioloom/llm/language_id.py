@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import read_table, slices, stage
+from folioloom.llm.common import read_table, release, slices, stage
 
 #: n-grams of a profile, and the penalty for one that a profile lacks.
 PROFILE = 300
@@ -115,6 +115,7 @@ def learn_profiles(training: DataFrame, per_lang: int = TRAIN_DOCS) -> Profiles:
         for lang, parts in seen.items():
             codes, counts = _summed(parts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))], ["lang", "code", "n"])
+        release()
 
     totals = sample.mapInArrow(count, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "code"))

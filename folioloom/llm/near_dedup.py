@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import SPACED, Words, connected_components, mixed, read_table, slices, stage, utf8_buffer, within_bitmap
+from folioloom.llm.common import SPACED, Words, connected_components, mixed, read_table, release, slices, stage, utf8_buffer, within_bitmap
 
 #: Words of a shingle; least similarity in percent.
 SHINGLE, PERCENT = 3, 85
@@ -169,6 +169,7 @@ def match_edges(batches, least: int):
                 if len(todo):
                     edges += forest.join(todo, todo + d)
         yield edge_batch(rep, edges)
+    release()
 
 
 def edge_batch(rep: np.ndarray, edges: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -209,6 +210,7 @@ def link_edges(batches, percent: int):
                 left, right = np.nonzero(np.triu(linked(own, percent), 1))
                 edges += forest.join(left + a, right + a)
         yield edge_batch(rep, edges)
+    release()
 
 
 def in_blocks(n: Column, of: Column) -> tuple[Column, Column]:
