@@ -4,9 +4,9 @@ import sys
 import pytest
 
 HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path.insert(0, os.path.dirname(HERE))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 # Python workers import the functions that tests hand to Spark from here.
-os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(HERE), HERE, f"{HERE}/llm", os.environ.get("PYTHONPATH", "")])
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(HERE), HERE, os.environ.get("PYTHONPATH", "")])
 
 DATA = "/root/testdata"
 
