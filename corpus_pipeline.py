@@ -2,32 +2,58 @@
 
 Each stage is a function of (spark, docs, sf_dir); it works on all rows that its
 predecessor kept and, but for the last, returns the columns of ``docs``. The
-tables that a stage writes for itself are in ``spark.checkpoint.dir``.
+tables that a stage writes for itself are in ``spark.checkpoint.dir``. A stage's
+result is to be written before the next stage begins, as ``run`` does: what it
+was computed from goes then, unless ``docs`` still reads it. Token files stay.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from folioloom.llm import decontamination, language_id, mixing, near_dedup, token_files
-from folioloom.llm.common import read_table, stage, stage_path
+from folioloom.llm.common import drop_staged, read_table, stage, stage_path, staged_since
+
+#: What earlier stages have written for themselves.
+_left: list[str] = []
+
+
+def tidy(apply: Callable) -> Callable:
+    """A stage that first deletes what earlier stages have left, and notes what it leaves itself."""
+
+    @wraps(apply)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _left[:] = drop_staged(docs, _left)
+        mark = len(staged_since())
+        out = apply(spark, docs, sf_dir)
+        _left.extend(staged_since(mark))
+        return out
+
+    return run_stage
 
 
+@tidy
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID by rank-order profiles; texts without letters, or unlike every learned language, go."""
     return language_id.keep_identified(docs, language_id.learned(docs))
 
 
+@tidy
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup; of each group the row with the smallest doc_id stays. Five-word shingles, similarity from 0.8."""
     return near_dedup.drop_near_duplicates(docs, size=5, percent=80)
 
 
+@tidy
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination; documents with a window of a benchmark item go."""
     return decontamination.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@tidy
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing to target weights; documents are repeated or left out so that sources come near their targets."""
     return mixing.mix_sources(docs)
@@ -35,6 +61,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files, read back: doc_id, start, n_tokens and the crc32 of the ids of every document of the mix."""
+    _left[:] = drop_staged(docs, _left)
     out = stage_path(spark, "pipeline-tokens")
     token_files.write_token_files(docs, out)
     return token_files.read_token_files(spark, out).select("doc_id", "start", "n_tokens", token_files.ids_crc32("tokens").alias("ids_crc32"))
