@@ -220,8 +220,8 @@ def in_blocks(n: Column, of: Column) -> tuple[Column, Column]:
     return block, pairs
 
 
-def near_duplicates(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Components of near duplicates of ``rows`` (doc_id, text, and uid where the caller has fixed one).
+def near_duplicates(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT, uid: str | None = None) -> DataFrame:
+    """Components of near duplicates of ``rows`` (doc_id, text, and a column with a unique id where ``uid`` names one).
 
     Returns uid, doc_id, n_shingles, component_id (smallest doc_id that is
     reachable over links) and stays (true for exactly one row of each component:
@@ -233,11 +233,11 @@ def near_duplicates(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     are not read. An empty table gives an empty result.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    uid = F.col("uid") if "uid" in rows.columns else F.monotonically_increasing_id().alias("uid")
+    own = (F.col(uid) if uid else F.monotonically_increasing_id()).alias("uid")
     #: Leads back from a representative to its row, without a second numbering of the rows.
     row_key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("rk")
     describe = F.arrow_udf(lambda t: described(t, size), "struct<n bigint, key binary, sig array<int>>")
-    docs = rows.select(uid, F.col("doc_id").cast("long").alias("doc_id"), row_key, describe(text).alias("d")).select("uid", "doc_id", "rk", "d.n", F.when(F.col("d.n") > 0, F.col("d.key")).otherwise(F.concat(F.lit("none "), F.col("uid").cast("string")).cast("binary")).alias("key"), "d.sig")
+    docs = rows.select(own, F.col("doc_id").cast("long").alias("doc_id"), row_key, describe(text).alias("d")).select("uid", "doc_id", "rk", "d.n", F.when(F.col("d.n") > 0, F.col("d.key")).otherwise(F.concat(F.lit("none "), F.col("uid").cast("string")).cast("binary")).alias("key"), "d.sig")
     docs = stage(docs, "op7-docs")
     order = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1).cast("long"))
     classes = stage(
@@ -297,7 +297,7 @@ def _digest_and_set(texts: pa.Array, size: int) -> pa.Array:
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row that stays, unchanged."""
     rows = stage(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*[docs[c] for c in docs.columns]).alias("row")), "near-rows")
-    gone = stage(near_duplicates(rows.select("uid", "row.doc_id", "row.text"), size, percent).filter(~F.col("stays")).select("uid"), "near-gone")
+    gone = stage(near_duplicates(rows.select("uid", "row.doc_id", "row.text"), size, percent, uid="uid").filter(~F.col("stays")).select("uid"), "near-gone")
     maybe = rows.withColumn("maybe", within_bitmap(gone, "uid", F.col("uid")))
     maybe = maybe.select("uid", "row", "maybe")
     kept = maybe.filter(~F.col("maybe")).select("row")

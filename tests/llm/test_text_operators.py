@@ -154,7 +154,7 @@ NEAR = [(i + 1, t) for i, t in enumerate(family(1, 60) + family(2, 9, 30, 3) + f
 def test_near_duplicates(spark, monkeypatch, blocks, size, percent):
     monkeypatch.setattr(near, "LIST_BLOCK", blocks[0])
     monkeypatch.setattr(near, "CLUSTER_BLOCK", blocks[1])
-    got = near.near_duplicates(docs(spark, NEAR).drop("uid"), size, percent).collect()
+    got = near.near_duplicates(docs(spark, NEAR), size, percent).collect()
     key = lambda x: tuple((v is None, v or 0) for v in x)
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=key) == sorted(plain_components(NEAR, size, percent), key=key)
     groups = defaultdict(int)
@@ -170,7 +170,7 @@ def test_drop_near_duplicates(spark):
     got = kept.collect()
     assert sorted((r.doc_id or -1) for r in got if shingle_set(r.text, 3)) == sorted((c or -1) for c in want)
     assert {500, 501, 502} <= {r.doc_id for r in got}
-    assert near.drop_near_duplicates(docs(spark, [])).collect() == [] and near.near_duplicates(docs(spark, []).drop("uid")).collect() == []
+    assert near.drop_near_duplicates(docs(spark, [])).collect() == [] and near.near_duplicates(docs(spark, [])).collect() == []
 
 
 def test_agreements():
