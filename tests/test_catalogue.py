@@ -263,7 +263,7 @@ def test_providers():
 def test_prompts(spark):
     df = spark.createDataFrame([(2, "n"), (0, None)], "n int, notes string")
     a, b = [r.p for r in df.select(render("book_main_data", F.col("n"), F.col("notes")).alias("p")).collect()]
-    assert "Image 2 of 2" in a and "\nn\n" in a and "Image 1" not in b and "Notes" not in b and '"published_year": integer or null' in b
+    assert "Image 2 of 2" in a and "\nn\n" in a and "Image 1" not in b and "Notes of" not in b and '"published_year": integer or null' in b
 
 
 def test_stream_picks_up_new_files(spark, books, tmp_path):
