@@ -134,12 +134,15 @@ def lenient_json(reply: Column | str, schema: T.StructType) -> Column:
     marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     options = {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
     loose = options | {"allowComments": "true", "allowSingleQuotes": "true", "allowUnquotedFieldNames": "true"}
-    strict = F.from_json(F.trim(_c(reply)), marked, options)
-    repaired = F.from_json(json_body(reply), marked, loose)
     fine = lambda s: s.isNotNull() & s["_corrupt"].isNull()
-    record = lambda s: F.struct(*[s[f.name].alias(f.name) for f in schema.fields])
-    is_object = F.coalesce(json_body(reply).startswith("{"), F.lit(False))
-    return F.struct(
-        F.when(is_object & fine(strict), record(strict)).when(is_object & fine(repaired), record(repaired)).alias("record"),
-        (is_object & F.coalesce(fine(strict) | fine(repaired), F.lit(False))).alias("ok"),
-    )
+    found = lambda s: F.struct(F.struct(*[s[f.name].alias(f.name) for f in schema.fields]).alias("record"), F.lit(True).alias("ok"))
+    none = F.struct(F.lit(None).cast(schema).alias("record"), F.lit(False).alias("ok"))
+    given = F.trim(F.coalesce(_c(reply), F.lit("")))
+    # The repair is only looked at where the strict reading fails.
+    repaired = _let(json_body(given), lambda t: _let(F.from_json(t, marked, loose), lambda r: F.when(t.startswith("{") & fine(r), found(r)).otherwise(none)))
+    return _let(F.from_json(given, marked, options), lambda s: F.when(given.startswith("{") & fine(s), found(s)).otherwise(repaired))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
