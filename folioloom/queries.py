@@ -19,6 +19,7 @@ from folioloom import functions as X
 from folioloom.operators.images import explode_pages
 from folioloom.operators.metrics import disk_sizes
 from folioloom.operators.quality import agreement_ok, in_domain
+from folioloom.operators.search import nearest
 from folioloom.plans.providers import CONSTANT, EXPONENTIAL
 from folioloom.plans.prompts import image_lines
 from folioloom.plans.schemas import CONDITION_ALIASES
@@ -420,11 +421,16 @@ def condition_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search over vectors, an extension: the 5 most similar of all vectors to each of five stated queries, exact."""
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    asked = vectors.filter("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("e").alias("q"))  # five rows
-    pairs = vectors.join(F.broadcast(asked), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", (dot("q", "e") / F.sqrt(dot("q", "q") * dot("e", "e"))).alias("s"))
-    best = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc(F.round("s", 9)), "vec_id"))
-    return pairs.withColumn("n", best).filter("n <= 5").select("query_id", "vec_id", F.round("s", 4).alias("similarity"))
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") < 5).withColumn("similarity", F.round("similarity", 4))
 
 
+@query(
+    "vector_search",
+    """
+    WITH p AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) / sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]) * list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[])) AS s
+      FROM embeddings q JOIN embeddings v ON v.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+    SELECT query_id, vec_id, round(s, 4) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vec_id) AS n FROM p) WHERE n <= 5""",
+)
+def vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search for every row whose vec_id is divisible by 20; the queries grow with the table."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).withColumn("similarity", F.round("similarity", 4))
