@@ -110,7 +110,8 @@ def confidence_band(value: Column | str) -> Column:
 
 
 def ascii_safe(value: Column | str) -> Column:
-    return _c(value).rlike(r"^[\x00-\x7F]*$")
+    """Whether all characters are ASCII: only those have one byte each. Decides as the pattern ``^[\\x00-\\x7F]*$`` does, without matching every character."""
+    return F.octet_length(_c(value)) == F.length(_c(value))
 
 
 # -- model replies

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from folioloom import functions as X
 from folioloom.plans.schemas import MAIN
+from folioloom.queries import QUERIES
 
 
 def one(spark, column):
@@ -89,3 +90,14 @@ def test_nested_record(spark):
     reply = '{"title": {"title_in_latin_script": "Laut"}, "language": ["id"], "authors": [{"author_in_latin_script": "A"}], "published_year": 1999, "confidence": 0.8}'
     got = spark.createDataFrame([(reply,)], "r string").select(X.lenient_json("r", MAIN).alias("x")).first().x
     assert got.ok and got.record.title.title_in_latin_script == "Laut" and got.record.published_year == 1999
+
+
+def test_ascii_safe_decides_as_the_pattern(spark):
+    texts = ["", "a b\n", "\x00\x7f", "é", "a\n\u0080", "日本", "\U0001f600", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(X.ascii_safe("t").alias("x"), F.col("t").rlike(r"^[\x00-\x7F]*$").alias("y")).collect()
+    assert [r.x for r in rows] == [r.y for r in rows] == [True, True, True, False, False, False, False, None]
+
+
+def test_ascii_query_runs_the_operator(spark, small, monkeypatch):
+    monkeypatch.setattr(X, "ascii_safe", lambda value: F.lit("the operator"))
+    assert QUERIES["ascii_safe"](spark, small).first().is_ascii == "the operator"
