@@ -37,6 +37,11 @@ def _all(array: Column, rule) -> Column:
     return F.when(F.size(array) > 0, F.forall(array, rule))
 
 
+def _joined(*flags: Column) -> Column:
+    """False if any flag is, null if all are, else true."""
+    return F.least(*flags)
+
+
 def _same_text(a: Column, b: Column) -> Column:
     return F.lower(F.trim(a)) == F.lower(F.trim(b))
 
@@ -56,7 +61,7 @@ def rules(countries: tuple[str, ...] | None = None, domains: dict[str, tuple[str
         "year": main["published_year"].between(1000, 9999),
         "main_confidence": main["confidence"].between(0, 1),
         "publishing_confidence": pub["confidence"].between(0, 1),
-        "text_confidence": _all(evidence, lambda e: in_domain(e["confidence"], TEXT_CONFIDENCE)),
+        "text_confidence": _joined(*[_all(x, lambda e: in_domain(e["confidence"], TEXT_CONFIDENCE)) for x in (evidence, pub["extractionEvidence"])]),
         "severity": _all(observed, lambda o: severity_rank(o["severityLevel"]).isNotNull()),
         "readability": _all(observed, lambda o: in_domain(o["readabilityImpact"], own["readability"])),
         "urgency": begins_in_domain(cond["conditionAnalysis"]["preservationUrgency"], own["urgency"]),
@@ -65,8 +70,13 @@ def rules(countries: tuple[str, ...] | None = None, domains: dict[str, tuple[str
         "image_numbers": F.coalesce(numbered(observed), F.lit(True)) & F.coalesce(numbered(evidence), F.lit(True)) & F.coalesce(numbered(pub["extractionEvidence"]), F.lit(True)),
         "one_observation_per_image": F.size(observed) == n,
         "image_count": pub["image_count"] == n,
-        "latin_is_ascii": ascii_safe(main["title"]["title_in_latin_script"]) & F.coalesce(_all(main["authors"], lambda a: ascii_safe(a["author_in_latin_script"])), F.lit(True)),
-        "agreement": _all(main["dataComparisons"], lambda d: agreement_ok(d["fromImages"], d["fromNotes"], d["agreement"])),
+        "latin_is_ascii": _joined(
+            ascii_safe(main["title"]["title_in_latin_script"]),
+            _all(main["authors"], lambda a: ascii_safe(a["author_in_latin_script"])),
+            _all(main["translator"], lambda t: ascii_safe(t["translators_in_latin_script"])),
+            *[ascii_safe(pub[name]["romanized"]) for name in ("publisher_name", "editor", "distributor_name")],
+        ),
+        "agreement": _joined(*[_all(x["dataComparisons"], lambda d: agreement_ok(d["fromImages"], d["fromNotes"], d["agreement"])) for x in (main, pub)]),
         "names_distinct": F.size(F.array_distinct(hints["bookNERData"])) == F.size(hints["bookNERData"]),
         "names_from_candidates": F.size(F.array_except(hints["bookNERData"], hints["nerCandidates"])) == 0,
         "blurb": F.nullif(F.lower(F.trim(hints["bookBlurbText"])), F.lit(NO_BLURB)).isNotNull(),
