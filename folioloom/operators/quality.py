@@ -5,6 +5,8 @@ A flag is null where the rule has nothing to look at.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +14,10 @@ from folioloom.functions import ascii_safe, confidence_band, isbn_ok, severity_r
 from folioloom.plans.schemas import CONDITION_ALIASES, NO_BLURB, PRINT_TYPE_ALIASES, TEXT_CONFIDENCE
 
 # -- fixed values: closed domains
-READABILITY = ("none", "minimal", "minor", "moderate", "significant", "severe")
-URGENCY = ("none", "low", "medium", "high", "immediate")
-COVERS = ("hardcover", "paperback", "leather", "cloth", "cardboard", "plastic", "other")
-BINDINGS = ("sewn", "glued", "stapled", "spiral", "other")
+READABILITY = ("no impact", "slight impact", "moderate impact", "significant impact", "severe impact", "illegible")
+URGENCY = ("none needed", "routine care", "preventive measures", "immediate attention", "critical intervention required")
+COVERS = ("rigid cardboard/board", "flexible card stock", "paper", "cloth", "leather", "synthetic material", "unknown")
+BINDINGS = ("sewn binding", "perfect binding (glued)", "saddle stitch (stapled)", "spiral bound", "loose leaf", "unknown")
 
 
 def in_domain(value: Column, domain: tuple[str, ...]) -> Column:
@@ -23,8 +25,9 @@ def in_domain(value: Column, domain: tuple[str, ...]) -> Column:
 
 
 def begins_in_domain(value: Column, domain: tuple[str, ...]) -> Column:
-    """Whether a text begins with a word of the domain; an explanation may follow."""
-    return F.lower(F.trim(F.regexp_extract(value, r"^\s*([A-Za-z_]+)", 1))).isin(*domain)
+    """Whether a text begins with a phrase of the domain, as whole words; an explanation may follow."""
+    phrases = "|".join(re.escape(phrase) for phrase in domain) or "(?!)"
+    return F.lower(F.trim(value)).rlike(rf"^\s*(?:{phrases})(?![\p{{L}}\p{{N}}_])")
 
 
 def agreement_ok(images: Column, notes: Column, flag: Column) -> Column:

@@ -1,8 +1,9 @@
 """Data rules, one violation at a time."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.operators.quality import check
+from folioloom.operators.quality import check, rules
 from folioloom.plans.schemas import CATALOGUE
 
 MAIN = {
@@ -58,3 +59,28 @@ def test_one_violation_in_each_field(spark):
         assert got["fine"][f"ok_{rule}"] is True and got["nothing"][f"ok_{rule}"] is None
         assert got[f"among {i}"][f"ok_{rule}"] is got[f"alone {i}"][f"ok_{rule}"] is False, (rule, record, field)
         assert got[f"among {i}"].n_broken == got["fine"].n_broken + 1
+
+
+#: Value lists as the record contract states them.
+DOMAINS = {
+    "readability": ["no impact", "slight impact", "moderate impact", "significant impact", "severe impact", "illegible"],
+    "urgency": ["none needed", "routine care", "preventive measures", "immediate attention", "critical intervention required"],
+    "cover": ["rigid cardboard/board", "flexible card stock", "paper", "cloth", "leather", "synthetic material", "unknown"],
+    "binding": ["sewn binding", "perfect binding (glued)", "saddle stitch (stapled)", "spiral bound", "loose leaf", "unknown"],
+}
+EXPLAINED = {"urgency": ["Routine care: light wear", "none needed."], "cover": [" Paper, worn"], "binding": ["Perfect binding (glued), tight"]}
+WRONG = {"readability": ["none", "no impact at all"], "urgency": ["high", "none", "routine careless"], "cover": ["paperboard", "plastic", "rigid"], "binding": ["perfect", "glued", "loose"]}
+
+
+def test_contract_values_are_in_their_domains(spark):
+    cases = [(rule, v, ok) for values, ok in ((DOMAINS, True), (EXPLAINED, True), (WRONG, False)) for rule, vs in values.items() for v in vs]
+    rows = [(i, v) for i, (_, v, _) in enumerate(cases)]
+    condition = F.struct(
+        F.array(F.struct(F.col("v").alias("readabilityImpact"))).alias("physicalObservations"),
+        F.struct(F.col("v").alias("preservationUrgency")).alias("conditionAnalysis"),
+        F.struct(F.col("v").alias("coverMaterial"), F.col("v").alias("bindingType")).alias("printTypeAnalysis"),
+    )
+    found = rules()
+    df = spark.createDataFrame(rows, "i int, v string").withColumn("book_condition_data", condition)
+    got = {r.i: r for r in df.select("i", *[found[rule].alias(rule) for rule in DOMAINS]).collect()}
+    assert [(rule, v, got[i][rule]) for i, (rule, v, _) in enumerate(cases)] == cases
