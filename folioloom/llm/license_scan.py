@@ -69,6 +69,44 @@ TEMPLATES = (
 )
 
 
+#: Notices beyond those that the SQL compares. BSD-2-Clause ends with the words that follow its last clause, which set it apart from BSD-3-Clause.
+MORE_TEMPLATES = (
+    (
+        "AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 "
+        "of the License, or (at your option) any later version.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain "
+        "the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED",
+    ),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "This work is licensed under the Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
+    (
+        "GPL-2.0-or-later",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of "
+        "the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version "
+        "2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0-or-later",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version "
+        "3 of the License, or (at your option) any later version.",
+    ),
+)
+
+
 def words_of(text: Column) -> Column:
     """Lower-case runs of digits, letters a-z and characters beyond ASCII."""
     return F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(0))
@@ -83,7 +121,13 @@ def minhash(shingles: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(BANDS)), lambda b: F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, b))))
 
 
-def template_table(spark: SparkSession, templates) -> tuple[DataFrame, list[int], list[str]]:
+def rivals_of(templates: list, share: float) -> list[tuple[int, list[str], list[str]]]:
+    """(template, what it alone has, what a rival alone has): a rival is of another license and holds ``share`` of the template, so its text passes for both."""
+    sets = [(r.template, r.license, set(r.shingles)) for r in templates]
+    return [(t, sorted(a - b), sorted(b - a)) for t, x, a in sets for _, y, b in sets if x != y and len(a & b) >= share * len(a)]
+
+
+def template_table(spark: SparkSession, templates, share: float) -> tuple[DataFrame, list[int], list[str]]:
     """Templates by span with their shingles and MinHash values; the spans; all distinct shingles."""
     rows = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, license string, body string")
     places = F.sequence(F.lit(0), F.size("words") - SHINGLE)
@@ -91,12 +135,14 @@ def template_table(spark: SparkSession, templates) -> tuple[DataFrame, list[int]
     rows = rows.select("template", "license", F.array_distinct(F.transform(places, lambda i: shingle_at(F.col("words"), i))).alias("shingles"))
     span = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("shingles").cast("double")) - 1e-9)).cast("int")
     rows = rows.select(span.alias("span"), "template", "license", "shingles", minhash(F.col("shingles")).alias("hashes"))
-    held = rows.select("span", "shingles").collect()
+    held = rows.select("span", "template", "license", "shingles").collect()
     if len(held) < len(templates):
         raise ValueError(f"a template needs at least {SHINGLE} words")
     if sum(len(r.shingles) for r in held) > MOST_SHINGLES:
         raise ValueError(f"templates hold more than {MOST_SHINGLES} shingles")
-    by_span = rows.groupBy("span").agg(F.collect_list(F.struct("template", "license", "shingles", "hashes")).alias("templates"))
+    rivals = spark.createDataFrame(rivals_of(held, share), "template int, own array<string>, other array<string>").groupBy("template").agg(F.collect_list(F.struct("own", "other")).alias("rivals"))
+    rows = rows.join(rivals, "template", "left").withColumn("rivals", F.coalesce("rivals", F.array().cast("array<struct<own:array<string>,other:array<string>>>")))
+    by_span = rows.groupBy("span").agg(F.collect_list(F.struct("template", "license", "shingles", "hashes", "rivals")).alias("templates"))
     return by_span, sorted({r.span for r in held}), sorted({s for r in held for s in r.shingles})
 
 
@@ -106,12 +152,14 @@ def _windows_of(span: int) -> Column:
     return F.array_distinct(F.flatten(F.transform("seen", lambda p: F.array(window(F.floor(p / span)), window(F.floor(p / span) - 1)))))
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, share: float = SHARE) -> DataFrame:
+def license_scan(docs: DataFrame, templates=TEMPLATES + MORE_TEMPLATES, share: float = SHARE) -> DataFrame:
     """One row per document and license found: doc_id, license, containment, n_windows.
 
     containment is the greatest share of a template's shingles that one window
     holds, n_windows the number of windows (of any of the license's templates)
-    with at least ``share``. Null, empty and short texts have no findings. Rows
+    with at least ``share``. Of templates whose texts pass for each other (versions
+    of a license), one gives way where its row has a shingle that only the rival
+    has and none that only it has. Null, empty and short texts have no findings. Rows
     with the same doc_id (null is one) are scanned apart and their findings
     merged. Other columns are not read. An empty table gives no rows. Without
     templates, or with one of fewer than 5 words, a ValueError is raised.
@@ -119,7 +167,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, share: float = SHARE) ->
     if not templates:
         raise ValueError("no templates")
     spark = docs.sparkSession
-    by_span, spans, shingles = template_table(spark, templates)
+    by_span, spans, shingles = template_table(spark, templates, share)
     # Equal hashes of different shingles only cost a window more to look at.
     known = [r[0] for r in spark.createDataFrame([(s,) for s in shingles], "s string").select(F.xxhash64(*[F.get(F.split("s", " "), F.lit(j)) for j in range(SHINGLE)])).collect()]
     w = F.col("words")
@@ -139,12 +187,14 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, share: float = SHARE) ->
             F.array_distinct(F.transform(F.sequence(x["at"] * x["span"], F.least((x["at"] + 2) * x["span"] - 1, last)), lambda i: shingle_at(w, i))).alias("shingles"),
         ),
     )
-    window = hit.select("doc_id", F.explode(cut).alias("w")).select("doc_id", "w.span", "w.shingles", minhash(F.col("w.shingles")).alias("own"))
+    marked = F.array_distinct(F.transform("seen", lambda i: shingle_at(w, i)))  # MOST_SHINGLES at most, but for equal hashes
+    window = hit.select("doc_id", marked.alias("marked"), F.explode(cut).alias("w")).select("doc_id", "marked", "w.span", "w.shingles", minhash(F.col("w.shingles")).alias("own"))
     near = window.join(F.broadcast(by_span), "span")  # one row per span, MOST_SHINGLES at most in all
     candidates = F.filter("templates", lambda t: F.exists(F.zip_with(t["hashes"], F.col("own"), lambda a, b: a == b), lambda same: same))
-    found = near.select("doc_id", "shingles", F.explode(candidates).alias("t"))
+    found = near.select("doc_id", "marked", "shingles", F.explode(candidates).alias("t"))
     exact = F.size(F.array_intersect("shingles", "t.shingles")).cast("double") / F.size("t.shingles").cast("double")
-    return found.select("doc_id", F.col("t.license").alias("license"), exact.alias("containment")).filter(F.col("containment") >= share).groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.count(F.lit(1)).alias("n_windows"))
+    gives_way = F.exists("t.rivals", lambda r: ~F.arrays_overlap("marked", r["own"]) & F.arrays_overlap("marked", r["other"]))
+    return found.filter(~gives_way).select("doc_id", F.col("t.license").alias("license"), exact.alias("containment")).filter(F.col("containment") >= share).groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.count(F.lit(1)).alias("n_windows"))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
