@@ -7,23 +7,32 @@ and the driver share; a lost executor therefore loses nothing that is staged.
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes that a broadcast side may hold; beyond it the operators shuffle.
-BROADCAST_LIMIT = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves a local master, whose executors
+    are this process; on a cluster it is an error, as executors share no such folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="folioloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -54,6 +63,28 @@ def drop_staged(docs: DataFrame, paths: list[str]) -> list[str]:
     return kept
 
 
+#: Bytes of a batch that goes to a Python worker, unless the session asks for less: buffers of two batches a task lie outside the heap.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Within it, jobs send batches of at most about BATCH_BYTES to Python workers."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    if before is not None and 0 < int(re.sub(r"\D", "", before) or 0) <= BATCH_BYTES:
+        yield
+        return
+    spark.conf.set(key, f"{BATCH_BYTES}b")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
@@ -61,7 +92,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     adaptive execution can split a skewed side of them.
     """
     path = stage_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -86,9 +118,31 @@ def utf8_buffer(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+#: What a worker keeps between tasks for the operator it last ran: kind -> key -> table.
+_resident: dict[str, dict] = {}
+
+
+def resident(kind: str, key: str, make: Callable[[str], Any]) -> Any:
+    """``make(key)``, kept for later tasks of this worker; what another kind of operator has kept goes first."""
+    if kind not in _resident:
+        _resident.clear()
+        release()
+        _resident[kind] = {}
+    held = _resident[kind]
+    if key not in held:
+        held[key] = make(key)
+    return held[key]
+
+
 def release() -> None:
-    """Give freed memory back to the system; a worker is kept for later tasks, and what it holds counts against its executor."""
-    pa.default_memory_pool().release_unused()
+    """Give freed memory back to the system; a worker is kept for later tasks, and what it holds counts against its executor.
+
+    Arrow's own pools keep what is freed, so from the first call on a worker
+    allocates with the C library, which gives back what it is asked to.
+    """
+    if pa.default_memory_pool().backend_name != "system":
+        pa.default_memory_pool().release_unused()
+        pa.set_memory_pool(pa.system_memory_pool())
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):
@@ -115,17 +169,18 @@ def slices(array: pa.Array, limit: int = 1 << 20):
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Bytes that are hashed together. Words that cross the end of a span are put together from their parts.
+SPAN = 1 << 19
 _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept and extended as needed."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        out = np.full(max(n, 1 << 16), base, np.uint64)
+    """base**0 .. base**(n-1) modulo 2**64, n at most SPAN + 1; kept."""
+    if base not in _powers:
+        out = np.full(SPAN + 1, base, np.uint64)
         out[0] = 1
-        _powers[base] = have = np.multiply.accumulate(out)
-    return have[:n]
+        _powers[base] = np.multiply.accumulate(out)
+    return _powers[base][:n]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -149,37 +204,70 @@ ALNUM = byte_class({*range(48, 58), *range(65, 91), *range(97, 123), *range(128,
 
 
 class Words:
-    """The words of the texts of one buffer: where each begins and ends, its hash, and the words of each text."""
+    """The words of the texts of one buffer: where each begins and ends, its hash, and the words of each text.
+
+    Works through spans of SPAN bytes, so beside the result (some 20 bytes a word)
+    and three bytes a byte of text, memory doesn't depend on how long a text is.
+    """
 
     def __init__(self, body: np.ndarray, offsets: np.ndarray, inside: np.ndarray):
         self.body = LOWER[body]
         n = len(body)
-        is_word = np.zeros(n + 1, bool)
-        is_word[:n] = inside[body]
-        begins = is_word[:n].copy()
-        begins[1:] &= ~is_word[: n - 1]
+        is_word = inside[body]
         edges = offsets[1:-1]
         edges = edges[(edges > 0) & (edges < n)]
+        begins = is_word.copy()
+        begins[1:] &= ~is_word[:-1]
         begins[edges] |= is_word[edges]
-        stops = is_word[:n] & ~is_word[1:]
+        kind = np.int32 if n < 2**31 - 1 else np.int64
+        self.begin = np.flatnonzero(begins).astype(kind)
+        stops = begins  # the array is used again
+        stops[:] = is_word
+        stops[:-1] &= ~is_word[1:]
         stops[edges - 1] |= is_word[edges - 1]
-        self.begin, self.end = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        self.end = np.flatnonzero(stops).astype(kind) + kind(1)
         #: Words of text i: first[i] to first[i + 1].
         self.first = np.searchsorted(self.begin, offsets)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.body.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n), out=sums[1:])
-        self.hash = mixed((sums[self.end] - sums[self.begin]) * _power(_INVERSE, n + 1)[self.begin])
+        self.hash = self._hashes(n)
+
+    def _hashes(self, n: int) -> np.ndarray:
+        out = np.zeros(len(self.begin), np.uint64)
+        powers, inverse = _power(_BASE, SPAN + 1), _power(_INVERSE, SPAN + 1)
+        sums = np.zeros(SPAN + 1, np.uint64)
+        for a in range(0, n, SPAN):
+            b = min(a + SPAN, n)
+            lo, hi = np.searchsorted(self.end, a, side="right"), np.searchsorted(self.begin, b, side="left")
+            if lo == hi:
+                continue
+            part = sums[: b - a + 1]
+            np.cumsum((self.body[a:b].astype(np.uint64) + np.uint64(1)) * powers[: b - a], out=part[1:])
+            begin, end = np.maximum(self.begin[lo:hi], a), np.minimum(self.end[lo:hi], b)
+            value = (part[end - a] - part[begin - a]) * inverse[begin - a]
+            if self.begin[lo] < a:
+                # Its bytes before this span are in the hash already; these come behind them.
+                value[:1] *= np.array([pow(_BASE, int(a - self.begin[lo]), 2**64)], np.uint64)
+            out[lo:hi] += value
+        return mixed(out)
+
+    def window_hashes(self, lengths):
+        """(k, hashes) for each of ``lengths`` in ascending order: the hash of each k words in a row, whether or not they are of one text."""
+        lengths, held = set(lengths), None
+        for k in range(1, max(lengths, default=0) + 1):
+            n = len(self.hash) - k + 1
+            if n <= 0:
+                held = np.zeros(0, np.uint64)
+            elif k == 1:
+                held = self.hash.copy()
+            else:
+                held = held[:n]
+                held *= _STEP
+                held += self.hash[k - 1 :]
+            if k in lengths:
+                yield k, mixed(held + np.uint64(k))
 
     def windows(self, k: int) -> np.ndarray:
-        """The hash of each k words in a row, whether or not they are of one text; ``len(hash) - k + 1`` of them."""
-        n = len(self.hash) - k + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64)
-        out = self.hash[:n].copy()
-        for j in range(1, k):
-            out *= _STEP
-            out += self.hash[j : j + n]
-        return mixed(out + np.uint64(k))
+        """The hash of each k words in a row; ``len(hash) - k + 1`` of them."""
+        return next(h for _, h in self.window_hashes({k}))
 
     def whole(self, k: int) -> np.ndarray:
         """Whether the window that begins at each place lies in one text."""
@@ -219,21 +307,27 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
 
 #: Most bits of a membership bitmap; it is a filter before an exact join, so a full one costs time and no rows.
 BITMAP_BITS = 1 << 28
-_BITS_OF_ROW = 1 << 15
+_ROW_BITS = 15
 
 
-def within_bitmap(members: DataFrame, column: str, over: Column) -> Column:
-    """Whether ``over`` may be among the values of ``members``; false only if it isn't. At most BITMAP_BITS / 8 bytes are broadcast."""
+def bitmap(members: DataFrame, hashes: Column) -> Broadcast:
+    """A broadcast table of bits, one set for each of the 64-bit ``hashes`` of ``members``; at most BITMAP_BITS / 8 bytes."""
     bits = 1 << min(BITMAP_BITS.bit_length() - 1, max(20, (16 * members.count()).bit_length()))
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits).cast("long"))
-    held = members.select(place(F.col(column)).alias("h")).groupBy(F.floor(F.col("h") / _BITS_OF_ROW).alias("row")).agg(F.bitmap_construct_agg(F.col("h") % _BITS_OF_ROW).alias("map")).collect()
-    table = np.zeros(bits // 8, np.uint8)
+    place = members.select(hashes.bitwiseAND(F.lit(bits - 1).cast("long")).alias("h"))
+    held = place.groupBy(F.shiftright("h", _ROW_BITS).alias("row")).agg(F.bitmap_construct_agg(F.col("h").bitwiseAND(F.lit((1 << _ROW_BITS) - 1).cast("long"))).alias("map")).collect()
+    table, width = np.zeros(bits // 8, np.uint8), (1 << _ROW_BITS) // 8
     for r in held:
-        table[int(r.row) * _BITS_OF_ROW // 8 : (int(r.row) + 1) * _BITS_OF_ROW // 8] = np.frombuffer(bytes(r.map), np.uint8)
-    shared = members.sparkSession.sparkContext.broadcast(table)
+        table[int(r.row) * width : (int(r.row) + 1) * width] = np.frombuffer(bytes(r.map), np.uint8)
+    return members.sparkSession.sparkContext.broadcast(table)
+
 
-    def test(places: pa.Array) -> pa.Array:
-        h = np.asarray(places)
-        return pa.array((shared.value[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool))
+def in_bitmap(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    h = hashes & (8 * len(table) - 1)
+    return (table[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool)
 
-    return F.arrow_udf(test, "boolean").asNondeterministic()(place(over))
+
+def within_bitmap(members: DataFrame, column: str, over: Column) -> Column:
+    """Whether ``over`` may be among the values of ``members``; false only if it isn't."""
+    shared = bitmap(members, F.xxhash64(F.col(column)))
+    test = F.arrow_udf(lambda hashes: pa.array(in_bitmap(shared.value, np.asarray(hashes))), "boolean")
+    return test.asNondeterministic()(F.xxhash64(over))

@@ -20,14 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import read_table, slices
+from folioloom.llm.common import read_table, resident, slices
 from folioloom.llm.token_files import default_tokenizer
 
 #: Most words whose length a worker keeps; when full it starts anew.
 CACHE_WORDS = 1_500_000
 
-_automata: dict[str, "PieceAutomaton"] = {}
-
 
 def byte_of_mark() -> dict[str, int]:
     """The byte each character of a byte-level vocabulary stands for: printable Latin-1 stands for itself, the rest from U+0100 on."""
@@ -120,9 +118,7 @@ class PieceAutomaton:
 
 
 def automaton(path: str) -> PieceAutomaton:
-    if path not in _automata:
-        _automata[path] = PieceAutomaton(vocabulary(path))
-    return _automata[path]
+    return resident("automaton", path, lambda p: PieceAutomaton(vocabulary(p)))
 
 
 def token_counts(docs: DataFrame, vocabulary_file: str | None = None) -> DataFrame:

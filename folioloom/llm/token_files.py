@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.llm.common import byte_class, read_table, slices, stage_path, utf8_buffer
+from folioloom.llm.common import byte_class, read_table, resident, slices, small_batches, stage, stage_path, utf8_buffer
 
 #: Fixed values of the file format.
 END_ID = 2
@@ -36,16 +36,17 @@ FILE_OPTIONS = {
     "parquet.writer.version": "PARQUET_2_0",
 }
 #: Pieces of text whose ids a worker keeps before it begins a new set; of the last set those stay that are met again.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 120_000
+#: Bytes of text of a range partition; the number of partitions follows from it and the input.
+PART_BYTES = 256 << 20
 #: Bytes of text that are encoded together.
-SLICE = 4 << 20
+SLICE = 1 << 20
 FILE_SCHEMA = "part int, doc_id bigint, offset bigint, n_tokens bigint, tokens array<int>"
 
 #: Bytes that may be white space, for a tokenizer or for Python.
 _SPACE = byte_class({9, 10, 11, 12, 13, 28, 29, 30, 31, 32})
 _MARK = byte_class(set(b".,;:!?*&$%#|)"))
 _ALNUM = byte_class({*range(48, 58), *range(65, 91), *range(97, 123)})
-_encoders: dict[str, "PieceEncoder"] = {}
 
 
 def default_tokenizer() -> str:
@@ -159,9 +160,7 @@ def _ends_in(piece: bytes, kind) -> bool:
 
 
 def encoder(path: str) -> PieceEncoder:
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    return resident("encoder", path, PieceEncoder)
 
 
 def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, end_id: int = END_ID, partitions: int | None = None) -> None:
@@ -174,7 +173,11 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, e
     smaller of the two.
     """
     path = tokenizer or default_tokenizer()
-    n = partitions or max(2, docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    crc = F.crc32(F.col("text").cast("binary"))
+    if partitions is None:
+        held = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        partitions = max(docs.sparkSession.sparkContext.defaultParallelism, -(-held // PART_BYTES))
 
     def encode(batches):
         enc, before = encoder(path), 0
@@ -188,8 +191,9 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, e
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(b - a, part, np.int32)), ids_of.slice(a, b - a), pa.array(before + ends - counts), pa.array(counts), tokens], ["part", "doc_id", "offset", "n_tokens", "tokens"])
                 before += int(ends[-1])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.crc32(F.col("text").cast("binary")), "text").mapInArrow(encode, FILE_SCHEMA).write.options(**FILE_OPTIONS).parquet(out)
+    # The crc in the key lets repeated doc_ids lie in several partitions.
+    with small_batches(docs.sparkSession):
+        rows.repartitionByRange(partitions, F.col("doc_id"), crc).sortWithinPartitions("doc_id", crc, "text").mapInArrow(encode, FILE_SCHEMA).write.options(**FILE_OPTIONS).parquet(out)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -206,15 +210,21 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 @F.arrow_udf(T.LongType())
 def ids_crc32(tokens: pa.Array) -> pa.Array:
     """Unsigned crc32 of each list of ids as little-endian unsigned 32-bit integers."""
+    resident("crc32", "", lambda _: None)  # what encoding has kept in this worker may go
     offsets = np.asarray(tokens.offsets)
     flat = memoryview(np.ascontiguousarray(tokens.values, "<i4")).cast("B")
     return pa.array([zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.int64())
 
 
+def token_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the files below ``path``, staged: ids go to Python in small batches."""
+    return stage(read_token_files(spark, path).select("doc_id", "start", "n_tokens", ids_crc32("tokens").alias("ids_crc32")), "token-digests")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stage_path(spark, "op3-tokens")
     write_token_files(read_table(spark, sf_dir, "documents"), out)
-    return read_token_files(spark, out).select("doc_id", "start", "n_tokens", ids_crc32("tokens").alias("ids_crc32"))
+    return token_digests(spark, out)
 
 
 QUERIES = {"op3_token_files": op3_token_files}
