@@ -64,7 +64,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _left[:] = drop_staged(docs, _left)
     out = stage_path(spark, "pipeline-tokens")
     token_files.write_token_files(docs, out)
-    return token_files.read_token_files(spark, out).select("doc_id", "start", "n_tokens", token_files.ids_crc32("tokens").alias("ids_crc32"))
+    return token_files.token_digests(spark, out)
 
 
 STAGES = [
