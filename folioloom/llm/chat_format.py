@@ -534,5 +534,18 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(spark.read.schema(FORMATTED).parquet(out))
 
 
+#: Characters around the text of a turn by role, and of a piece's begin, are those of TEMPLATE; every control string and backslash grows by its escape.
+OP5_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')) AS v(conv_id, turn, role, text)),
+n AS (SELECT *, length(text) + len(regexp_extract_all(text, '\\')) + 2 * len(regexp_extract_all(text, '\[/INST\]|\[/ROLE\]|\[INST\]|\[/SYS\]|\[ROLE\]|\[TEXT\]|\[OUT\]|\[SYS\]|</s>|<s>')) AS text_chars,
+  length(role) + len(regexp_extract_all(role, '\\')) + 2 * len(regexp_extract_all(role, '\[/INST\]|\[/ROLE\]|\[INST\]|\[/SYS\]|\[ROLE\]|\[TEXT\]|\[OUT\]|\[SYS\]|</s>|<s>')) AS role_chars FROM c)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(text_chars + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 10 WHEN 'system' THEN 13 ELSE 19 + role_chars END) AS BIGINT) AS formatted_chars
+FROM n GROUP BY conv_id
+"""
+
 QUERIES = {"op5_chat_format": op5_chat_format}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op5_chat_format": OP5_SQL}

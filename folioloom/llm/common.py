@@ -310,15 +310,20 @@ BITMAP_BITS = 1 << 28
 _ROW_BITS = 15
 
 
-def bitmap(members: DataFrame, hashes: Column) -> Broadcast:
-    """A broadcast table of bits, one set for each of the 64-bit ``hashes`` of ``members``; at most BITMAP_BITS / 8 bytes."""
-    bits = 1 << min(BITMAP_BITS.bit_length() - 1, max(20, (16 * members.count()).bit_length()))
+def bit_table(members: DataFrame, hashes: Column, bits: int) -> np.ndarray:
+    """One bit for each of the 64-bit ``hashes`` of ``members``, at its remainder by ``bits``, a power of two of at least 2 ** 15."""
     place = members.select(hashes.bitwiseAND(F.lit(bits - 1).cast("long")).alias("h"))
     held = place.groupBy(F.shiftright("h", _ROW_BITS).alias("row")).agg(F.bitmap_construct_agg(F.col("h").bitwiseAND(F.lit((1 << _ROW_BITS) - 1).cast("long"))).alias("map")).collect()
     table, width = np.zeros(bits // 8, np.uint8), (1 << _ROW_BITS) // 8
     for r in held:
         table[int(r.row) * width : (int(r.row) + 1) * width] = np.frombuffer(bytes(r.map), np.uint8)
-    return members.sparkSession.sparkContext.broadcast(table)
+    return table
+
+
+def bitmap(members: DataFrame, hashes: Column) -> Broadcast:
+    """A broadcast table of bits, one set for each of the 64-bit ``hashes`` of ``members``; at most BITMAP_BITS / 8 bytes."""
+    bits = 1 << min(BITMAP_BITS.bit_length() - 1, max(20, (16 * members.count()).bit_length()))
+    return members.sparkSession.sparkContext.broadcast(bit_table(members, hashes, bits))
 
 
 def in_bitmap(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:

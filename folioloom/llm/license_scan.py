@@ -1,8 +1,9 @@
 """License scans in DataFrame functions only.
 
 Each document is cut into overlapping windows of words; the MinHash values of a
-window retrieve the templates that share one of its bands, and the exact share
-of the template's 5-word shingles that stand in the window decides.
+window retrieve the templates that share one of its bands, by a join on (span,
+band, value), and the exact share of the template's 5-word shingles that stand in
+the window decides.
 
 A template of m shingles is sought in windows of 2 * span shingles that begin
 every span shingles, with span the power of two at or above m, so any run of m
@@ -12,20 +13,24 @@ with it. With 64 bands of one value the chance that no band agrees is below
 0.81 ** 64 = 1.4e-6.
 
 Windows without any shingle of any template can't hold a match and aren't
-hashed; that skip loses nothing.
+hashed, and bands that no template of the span has aren't joined. Both are asked
+of a table of flags of fixed size in the plan, which lets some through in vain
+and none escape; so the work beside the hashing of words follows the notices
+in the corpus, and any number of templates of any length is possible.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import read_table
+from folioloom.llm.common import bit_table, read_table, stage
 
 #: Words of a shingle, least share of a template's shingles in a window, bands of one MinHash value each.
 SHINGLE, SHARE, BANDS = 5, 0.8, 64
-#: Most shingles of all templates together; they are broadcast and compared with every candidate window.
-MOST_SHINGLES = 100_000
+#: Flags of a table: 64 times the number of keys, from 2 ** 20 to 2 ** 24, a byte each; a key sets PROBES of them.
+LEAST_FLAGS, MOST_FLAGS, PROBES = 1 << 20, 1 << 24, 3
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
 #: Notices and grants of common licenses, by SPDX identifier.
@@ -121,29 +126,62 @@ def minhash(shingles: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(BANDS)), lambda b: F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, b))))
 
 
-def rivals_of(templates: list, share: float) -> list[tuple[int, list[str], list[str]]]:
-    """(template, what it alone has, what a rival alone has): a rival is of another license and holds ``share`` of the template, so its text passes for both."""
-    sets = [(r.template, r.license, set(r.shingles)) for r in templates]
-    return [(t, sorted(a - b), sorted(b - a)) for t, x, a in sets for _, y, b in sets if x != y and len(a & b) >= share * len(a)]
+def _probes(h: Column) -> list[Column]:
+    return [F.shiftrightunsigned(h, 20 * j) for j in range(PROBES)]
 
 
-def template_table(spark: SparkSession, templates, share: float) -> tuple[DataFrame, list[int], list[str]]:
-    """Templates by span with their shingles and MinHash values; the spans; all distinct shingles."""
-    rows = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, license string, body string")
+class Flags:
+    """Whether a 64-bit hash may be among those of a table: a literal of flags, so that it is asked within an expression."""
+
+    def __init__(self, keys: DataFrame, h: Column):
+        self.size = min(MOST_FLAGS, max(LEAST_FLAGS, 1 << (64 * keys.count()).bit_length()))
+        table = bit_table(keys.select(F.explode(F.array(*_probes(h))).alias("p")), F.col("p"), self.size)
+        self.flags = F.lit(bytearray(np.unpackbits(table, bitorder="little").tobytes()))
+
+    def holds(self, h: Column) -> Column:
+        places = [(p.bitwiseAND(F.lit(self.size - 1).cast("long")) + 1).cast("int") for p in _probes(h)]
+        out = F.substring(self.flags, places[0], F.lit(1)) == F.lit(bytearray(b"\x01"))
+        for p in places[1:]:
+            out = out & (F.substring(self.flags, p, F.lit(1)) == F.lit(bytearray(b"\x01")))
+        return out
+
+
+def band_key(span: Column, band: Column, value: Column) -> Column:
+    return F.xxhash64(span, band, value)
+
+
+def template_table(spark: SparkSession, templates) -> DataFrame:
+    """Staged (template, license, span, shingles, hashes) of ``templates``: pairs of license and text, or a table with the columns license and body."""
+    if isinstance(templates, DataFrame):
+        rows = templates.select(F.monotonically_increasing_id().alias("template"), F.col("license").cast("string").alias("license"), F.col("body").cast("string").alias("body"))
+    else:
+        if not templates:
+            raise ValueError("no templates")
+        rows = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template long, license string, body string")
+    words = stage(rows.select("template", "license", words_of(F.col("body")).alias("words")), "op10-words")
+    held = words.agg(F.count(F.lit(1)), F.coalesce(F.min(F.size("words")), F.lit(SHINGLE))).first()
+    if not held[0]:
+        raise ValueError("no templates")
+    if held[1] < SHINGLE:
+        raise ValueError(f"a template needs at least {SHINGLE} words")
     places = F.sequence(F.lit(0), F.size("words") - SHINGLE)
-    rows = rows.select("template", "license", words_of(F.col("body")).alias("words")).filter(F.size("words") >= SHINGLE)
-    rows = rows.select("template", "license", F.array_distinct(F.transform(places, lambda i: shingle_at(F.col("words"), i))).alias("shingles"))
+    rows = words.select("template", "license", F.array_distinct(F.transform(places, lambda i: shingle_at(F.col("words"), i))).alias("shingles"))
     span = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("shingles").cast("double")) - 1e-9)).cast("int")
-    rows = rows.select(span.alias("span"), "template", "license", "shingles", minhash(F.col("shingles")).alias("hashes"))
-    held = rows.select("span", "template", "license", "shingles").collect()
-    if len(held) < len(templates):
-        raise ValueError(f"a template needs at least {SHINGLE} words")
-    if sum(len(r.shingles) for r in held) > MOST_SHINGLES:
-        raise ValueError(f"templates hold more than {MOST_SHINGLES} shingles")
-    rivals = spark.createDataFrame(rivals_of(held, share), "template int, own array<string>, other array<string>").groupBy("template").agg(F.collect_list(F.struct("own", "other")).alias("rivals"))
-    rows = rows.join(rivals, "template", "left").withColumn("rivals", F.coalesce("rivals", F.array().cast("array<struct<own:array<string>,other:array<string>>>")))
-    by_span = rows.groupBy("span").agg(F.collect_list(F.struct("template", "license", "shingles", "hashes", "rivals")).alias("templates"))
-    return by_span, sorted({r.span for r in held}), sorted({s for r in held for s in r.shingles})
+    return stage(rows.select("template", "license", span.alias("span"), "shingles", minhash(F.col("shingles")).alias("hashes")), "op10-templates")
+
+
+def rival_table(templates: DataFrame, share: float) -> DataFrame:
+    """(template, rivals) of the templates that have some: a rival is of another license and holds ``share`` of the template, so its text passes for both.
+
+    Each is given by the shingles that the template alone has and those that the rival alone has.
+    """
+    held = templates.select("template", "license", F.size("shingles").alias("m"), F.explode("shingles").alias("s"))
+    a, b = held.alias("a"), held.alias("b")
+    pairs = a.join(b, (F.col("a.s") == F.col("b.s")) & ~F.col("a.license").eqNullSafe(F.col("b.license"))).groupBy(F.col("a.template").alias("template"), F.col("b.template").alias("rival"), F.col("a.m").alias("m"))
+    pairs = pairs.agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= F.lit(share) * F.col("m")).select("template", "rival")
+    mine, other = (templates.select(F.col("template").alias(t), F.col("shingles").alias(s)) for t, s in (("template", "mine"), ("rival", "others")))
+    split = pairs.join(mine, "template").join(other, "rival").select("template", F.struct(F.array_except("mine", "others").alias("own"), F.array_except("others", "mine").alias("other")).alias("r"))
+    return split.groupBy("template").agg(F.collect_list("r").alias("rivals"))
 
 
 def _windows_of(span: int) -> Column:
@@ -159,42 +197,46 @@ def license_scan(docs: DataFrame, templates=TEMPLATES + MORE_TEMPLATES, share: f
     holds, n_windows the number of windows (of any of the license's templates)
     with at least ``share``. Of templates whose texts pass for each other (versions
     of a license), one gives way where its row has a shingle that only the rival
-    has and none that only it has. Null, empty and short texts have no findings. Rows
-    with the same doc_id (null is one) are scanned apart and their findings
+    has and none that only it has. Null, empty and short texts have no findings;
+    very long ones are scanned whole, and a task holds the words of one at a time.
+    Rows with the same doc_id (null is one) are scanned apart and their findings
     merged. Other columns are not read. An empty table gives no rows. Without
     templates, or with one of fewer than 5 words, a ValueError is raised.
     """
-    if not templates:
-        raise ValueError("no templates")
-    spark = docs.sparkSession
-    by_span, spans, shingles = template_table(spark, templates, share)
+    table = template_table(docs.sparkSession, templates)
+    spans = sorted(r[0] for r in table.select("span").distinct().collect())  # powers of two, so some 20 at most
+    bands = stage(table.select("span", "template", F.posexplode("hashes").alias("band", "value")), "op10-bands")
     # Equal hashes of different shingles only cost a window more to look at.
-    known = [r[0] for r in spark.createDataFrame([(s,) for s in shingles], "s string").select(F.xxhash64(*[F.get(F.split("s", " "), F.lit(j)) for j in range(SHINGLE)])).collect()]
+    known = Flags(table.select(F.explode("shingles").alias("s")).distinct(), F.xxhash64(*[F.get(F.split("s", " "), F.lit(j)) for j in range(SHINGLE)]))
+    posted = Flags(bands, band_key(F.col("span"), F.col("band"), F.col("value")))
     w = F.col("words")
     last = F.size(w) - SHINGLE
     # Exploding a one-element array keeps the optimizer from putting the expression into each of its uses.
     once = lambda c: F.explode(F.array(c))
-    worded = docs.select("doc_id", once(words_of(F.col("text"))).alias("words")).filter(F.size("words") >= SHINGLE)
-    marks = F.array(*[F.lit(k) for k in known])
-    hashes = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(SHINGLE)]))
-    hashed = worded.select("doc_id", "words", once(hashes).alias("hashes")).filter(F.arrays_overlap("hashes", marks))
-    hit = hashed.select("doc_id", "words", F.filter(F.sequence(F.lit(0), last), lambda i: F.array_contains(marks, F.get("hashes", i))).alias("seen"))
+    worded = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", once(words_of(F.col("text"))).alias("words")).filter(F.size("words") >= SHINGLE)
+    places = F.filter(F.sequence(F.lit(0), last), lambda i: known.holds(F.xxhash64(*[F.get(w, i + j) for j in range(SHINGLE)])))
+    hit = worded.select("uid", "doc_id", "words", once(places).alias("seen")).filter(F.size("seen") > 0)
     windows = F.flatten(F.array(*[_windows_of(s) for s in spans]))
     cut = F.transform(
         F.filter(windows, lambda x: x["at"] >= 0),
         lambda x: F.struct(
             x["span"].alias("span"),
+            x["at"].alias("at"),
             F.array_distinct(F.transform(F.sequence(x["at"] * x["span"], F.least((x["at"] + 2) * x["span"] - 1, last)), lambda i: shingle_at(w, i))).alias("shingles"),
         ),
     )
-    marked = F.array_distinct(F.transform("seen", lambda i: shingle_at(w, i)))  # MOST_SHINGLES at most, but for equal hashes
-    window = hit.select("doc_id", marked.alias("marked"), F.explode(cut).alias("w")).select("doc_id", "marked", "w.span", "w.shingles", minhash(F.col("w.shingles")).alias("own"))
-    near = window.join(F.broadcast(by_span), "span")  # one row per span, MOST_SHINGLES at most in all
-    candidates = F.filter("templates", lambda t: F.exists(F.zip_with(t["hashes"], F.col("own"), lambda a, b: a == b), lambda same: same))
-    found = near.select("doc_id", "marked", "shingles", F.explode(candidates).alias("t"))
-    exact = F.size(F.array_intersect("shingles", "t.shingles")).cast("double") / F.size("t.shingles").cast("double")
-    gives_way = F.exists("t.rivals", lambda r: ~F.arrays_overlap("marked", r["own"]) & F.arrays_overlap("marked", r["other"]))
-    return found.filter(~gives_way).select("doc_id", F.col("t.license").alias("license"), exact.alias("containment")).filter(F.col("containment") >= share).groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.count(F.lit(1)).alias("n_windows"))
+    marked = F.array_distinct(F.transform("seen", lambda i: shingle_at(w, i)))
+    window = hit.select("uid", "doc_id", marked.alias("marked"), F.explode(cut).alias("w")).select("uid", "doc_id", "marked", "w.span", "w.at", "w.shingles", once(minhash(F.col("w.shingles"))).alias("own"))
+    own = F.filter(F.transform("own", lambda v, b: F.struct(b.alias("band"), v.alias("value"))), lambda x: posted.holds(band_key(F.col("span"), x["band"], x["value"])))
+    posts = window.select("uid", "doc_id", "marked", "span", "at", "shingles", F.explode(own).alias("p")).select("uid", "doc_id", "marked", "span", "at", "shingles", "p.band", "p.value")
+    # A window meets a template once for each band that they share; it is compared once.
+    met = posts.join(bands, ["span", "band", "value"]).groupBy("uid", "span", "at", "template").agg(F.first("doc_id").alias("doc_id"), F.first("marked").alias("marked"), F.first("shingles").alias("shingles"))
+    about = table.select("template", "license", F.col("shingles").alias("sought")).join(rival_table(table, share), "template", "left")
+    about = stage(about.withColumn("rivals", F.coalesce("rivals", F.array().cast("array<struct<own:array<string>,other:array<string>>>"))), "op10-about")
+    found = met.join(about, "template")
+    exact = F.size(F.array_intersect("shingles", "sought")).cast("double") / F.size("sought").cast("double")
+    gives_way = F.exists("rivals", lambda r: ~F.arrays_overlap("marked", r["own"]) & F.arrays_overlap("marked", r["other"]))
+    return found.filter(~gives_way).select("doc_id", "license", exact.alias("containment")).filter(F.col("containment") >= share).groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), F.count(F.lit(1)).alias("n_windows"))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +244,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_templates() -> str:
-    quoted = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES))
+    quoted = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES + MORE_TEMPLATES))
     return f"(VALUES {quoted})"
 
 
@@ -211,12 +253,17 @@ WITH t AS (SELECT template, license, regexp_extract_all(lower(body), '{WORD}') A
 ts AS (SELECT DISTINCT template, license, array_to_string(w[i + 1 : i + {SHINGLE}], ' ') AS s FROM (SELECT *, unnest(range(len(w) - {SHINGLE - 1})) AS i FROM t)),
 sized AS (SELECT *, count(*) OVER (PARTITION BY template) AS m FROM ts),
 tpl AS (SELECT *, CAST(2 ** ceil(log2(m) - 1e-9) AS BIGINT) AS span FROM sized),
+riv AS (SELECT a.template AS t, b.template AS r FROM tpl a JOIN tpl b ON a.s = b.s AND a.license <> b.license GROUP BY a.template, b.template, a.m HAVING count(*) >= {SHARE} * a.m),
+only_one AS (
+  SELECT t, r, true AS own, x.s FROM riv JOIN tpl x ON x.template = t WHERE NOT EXISTS (SELECT 1 FROM tpl y WHERE y.template = r AND y.s = x.s)
+  UNION ALL SELECT t, r, false, x.s FROM riv JOIN tpl x ON x.template = r WHERE NOT EXISTS (SELECT 1 FROM tpl y WHERE y.template = t AND y.s = x.s)),
 d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS w FROM documents),
 q AS (SELECT rid, doc_id, list_transform(range(greatest(len(w) - {SHINGLE - 1}, 0)), lambda i: array_to_string(w[i + 1 : i + {SHINGLE}], ' ')) AS ss FROM d),
 p AS (SELECT rid, doc_id, unnest(ss) AS s, unnest(range(len(ss))) AS i FROM q),
 h AS (SELECT p.rid, p.doc_id, tpl.template, tpl.license, tpl.m, tpl.s, unnest([p.i // span, p.i // span - 1]) AS win FROM p JOIN tpl USING (s)),
+gives AS (SELECT DISTINCT rid, t AS template FROM (SELECT rid, t, r FROM (SELECT DISTINCT rid, s FROM h) JOIN only_one USING (s) GROUP BY rid, t, r HAVING NOT bool_or(own))),
 f AS (SELECT rid, doc_id, template, license, win, count(DISTINCT s)::DOUBLE / any_value(m)::DOUBLE AS containment FROM h WHERE win >= 0 GROUP BY ALL)
-SELECT doc_id, license, max(containment) AS containment, count(*) AS n_windows FROM f WHERE containment >= {SHARE} GROUP BY doc_id, license
+SELECT doc_id, license, max(containment) AS containment, count(*) AS n_windows FROM f ANTI JOIN gives USING (rid, template) WHERE containment >= {SHARE} GROUP BY doc_id, license
 """
 
 QUERIES = {"op10_license_scan": op10_license_scan}

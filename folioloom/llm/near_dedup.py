@@ -309,5 +309,22 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+#: All links by counting shared shingles, and the reachable rows by following them. Equal sets are one node.
+OP7_SQL = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT rid, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')] ELSE list_transform(range(len(w) - {SHINGLE - 1}), lambda i: array_to_string(w[i + 1 : i + {SHINGLE}], ' ')) END)) AS ss FROM d),
+c AS (SELECT any_value(ss) AS ss, min(rid) AS node, min(doc_id) AS low FROM s WHERE len(ss) > 0 GROUP BY md5(array_to_string(ss, chr(10)))),
+p AS (SELECT node, len(ss) AS n, unnest(ss) AS g FROM c),
+hot AS (SELECT g FROM p GROUP BY g HAVING count(*) > 1),
+q AS (SELECT p.* FROM p JOIN hot USING (g)),
+link AS (SELECT a.node AS u, b.node AS v FROM q a JOIN q b ON a.g = b.g AND a.node < b.node AND 100 * a.n >= {PERCENT} * b.n AND 100 * b.n >= {PERCENT} * a.n
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+edge AS (SELECT u, v FROM link UNION SELECT v, u FROM link),
+reach AS (SELECT node AS u, node AS v FROM c UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u),
+low AS (SELECT reach.u AS node, min(c.low) AS low FROM reach JOIN c ON c.node = reach.v GROUP BY reach.u)
+SELECT s.doc_id, CAST(len(s.ss) AS BIGINT) AS n_shingles, coalesce(low.low, s.doc_id) AS component_id, s.doc_id = coalesce(low.low, s.doc_id) AS kept
+FROM s LEFT JOIN c ON len(s.ss) > 0 AND md5(array_to_string(s.ss, chr(10))) = md5(array_to_string(c.ss, chr(10))) LEFT JOIN low ON low.node = c.node
+"""
+
 QUERIES = {"op7_near_dedup": op7_near_dedup}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op7_near_dedup": OP7_SQL}

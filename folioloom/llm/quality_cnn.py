@@ -18,9 +18,11 @@ from folioloom.llm.common import read_table, slices, stage, utf8_buffer
 
 #: Filters, their width in bytes, and bytes of a block; a chunk is two blocks.
 FILTERS, WIDTH, BLOCK = 12, 5, 256
-#: Documents that are learned from, as an expected number of a hash sample, and the blocks of each, spread over its whole text.
-TRAIN_DOCS, TRAIN_BLOCKS = 4000, 24
+#: The sample of labelled rows that is learned from: an expected number by hash, and of those as many, by hash, as have so many bytes of text in all.
+TRAIN_DOCS, TRAIN_BYTES = 4000, 4 << 20
 EPOCHS, BATCH, RATE, SEED = 14, 64, 0.01, 7
+#: Blocks whose responses are computed together.
+SPAN_BLOCKS = 1024
 #: A score from here on counts as good.
 THRESHOLD = 0.3
 
@@ -38,16 +40,28 @@ class ByteNet:
         self.out = rng.normal(0, 0.1, 2 * filters).astype(np.float32)
         self.offset = np.float32(0)
 
-    def blocks(self, body: np.ndarray) -> np.ndarray:
-        """The greatest response of each filter in each block of one text; (blocks, filters), at least one block."""
-        n = len(body)
-        padded = np.zeros(n + self.table.shape[0] - 1, np.uint8) if n else np.zeros(self.table.shape[0], np.uint8)
-        padded[:n] = body
-        n = max(n, 1)
-        respond = self.table[0].take(padded[:n], axis=0)
-        for j in range(1, self.table.shape[0]):
-            respond += self.table[j].take(padded[j : j + n], axis=0)
-        return np.maximum.reduceat(respond, np.arange(0, n, BLOCK), axis=0)
+    def blocks(self, padded: np.ndarray, n: int, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """The greatest response of each filter in each block of one text of ``n`` bytes, and where in the text it is if ``places``.
+
+        ``padded`` is the text and, behind it, the zeros that its last positions look
+        at; an empty text has one position. (blocks, filters), at least one block.
+        Long texts go through in spans of whole blocks.
+        """
+        width, filters = self.table.shape[0], self.table.shape[2]
+        most, at = [], []
+        for a in range(0, n, SPAN_BLOCKS * BLOCK):
+            m = min(n - a, SPAN_BLOCKS * BLOCK)
+            k = -(-m // BLOCK)
+            respond = np.full((k * BLOCK, filters), -np.inf, np.float32)
+            own = respond[:m]
+            self.table[0].take(padded[a : a + m], axis=0, out=own)
+            for j in range(1, width):
+                own += self.table[j].take(padded[a + j : a + j + m], axis=0)
+            by_block = respond.reshape(k, BLOCK, filters)
+            most.append(by_block.max(1))
+            if places:
+                at.append(by_block.argmax(1) + (a + BLOCK * np.arange(k))[:, None])
+        return np.concatenate(most), np.concatenate(at) if places else None
 
     def features(self, blocks: np.ndarray) -> np.ndarray:
         """Chunks of two neighbouring blocks each; mean and greatest of the squashed responses."""
@@ -55,15 +69,40 @@ class ByteNet:
         on = np.tanh(np.maximum(chunks + self.bias, 0))
         return np.concatenate([on.mean(0), on.max(0)])
 
+    def padded(self, body: np.ndarray) -> tuple[np.ndarray, int]:
+        out = np.zeros(max(len(body), 1) + self.table.shape[0] - 1, np.uint8)
+        out[: len(body)] = body
+        return out, max(len(body), 1)
+
     def score(self, body: np.ndarray) -> float:
-        # Long texts go through in spans of whole blocks, with the bytes behind that the last filter positions look at.
-        span, parts, reach = BLOCK * 4096, [], self.table.shape[0] - 1
-        for a in range(0, max(1, len(body)), span):
-            got = self.blocks(body[a : a + span + reach])
-            parts.append(got[: -(-min(span, max(1, len(body) - a)) // BLOCK)])
-        z = float(self.features(np.concatenate(parts)) @ self.out + self.offset)
+        z = float(self.features(self.blocks(*self.padded(body))[0]) @ self.out + self.offset)
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
+    def gradient(self, padded: np.ndarray, n: int, label: float, weight: float) -> dict[str, np.ndarray]:
+        """The gradient of the weighted logistic loss at one text."""
+        filters, width = self.table.shape[2], self.table.shape[0]
+        blocks, places = self.blocks(padded, n, places=True)
+        k = len(blocks)
+        left = np.arange(max(1, k - 1))
+        right = np.minimum(left + 1, k - 1)
+        chunk_block = np.where(blocks[left] >= blocks[right], left[:, None], right[:, None])
+        lifted = np.take_along_axis(blocks, chunk_block, 0) + self.bias
+        on = np.tanh(np.maximum(lifted, 0))
+        best = on.argmax(0)
+        feats = np.concatenate([on.mean(0), on[best, np.arange(filters)]])
+        p = 1 / (1 + np.exp(-np.clip(feats @ self.out + self.offset, -30, 30)))
+        dz = (p - label) * weight
+        d_on = np.repeat((dz * self.out[:filters] / len(on))[None], len(on), 0)
+        d_on[best, np.arange(filters)] += dz * self.out[filters:]
+        d = d_on * (1 - on**2) * (lifted > 0)
+        # Only the place of the greatest response of a chunk learns.
+        at = np.take_along_axis(places, chunk_block, 0)
+        rows, cols = np.nonzero(d)
+        seen = padded[at[rows, cols][:, None] + np.arange(width)]
+        cells = (np.arange(width) * 256 + seen) * filters + cols[:, None]
+        table = np.bincount(cells.ravel(), np.repeat(d[rows, cols], width), width * 256 * filters).reshape(width, 256, filters)
+        return {"table": table, "bias": d.sum(0), "out": dz * feats, "offset": dz}
+
 
 def _kind(b: int) -> int:
     c = chr(b)
@@ -71,7 +110,7 @@ def _kind(b: int) -> int:
 
 
 def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int = SEED) -> ByteNet:
-    """A net from texts (each as long as its training blocks) and labels 0 or 1; both classes weigh the same. No rows: the untrained net."""
+    """A net from whole texts and labels 0 or 1; both classes weigh the same. No rows: the untrained net."""
     net, rng = ByteNet(seed=seed), np.random.default_rng(seed)
     y = np.array(labels, np.float32)
     if not len(y):
@@ -81,50 +120,18 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
     params = ["table", "bias", "out", "offset"]
     first = {p: np.zeros_like(getattr(net, p)) for p in params}
     second = {p: np.zeros_like(getattr(net, p)) for p in params}
-    bodies = [np.frombuffer(t, np.uint8) for t in texts]
-    filters, width, step = FILTERS, WIDTH, 0
+    bodies = [net.padded(np.frombuffer(t, np.uint8)) for t in texts]
+    step = 0
     for epoch in range(epochs):
         order = rng.permutation(len(bodies))
+        rate = RATE * (1 - 0.8 * epoch / max(1, epochs))
         for at in range(0, len(order), BATCH):
-            part = order[at : at + BATCH]
-            grad = {p: np.zeros_like(getattr(net, p)) for p in params}
-            for i in part.tolist():
-                body = bodies[i]
-                n = max(len(body), 1)
-                padded = np.zeros(n + width - 1, np.uint8)
-                padded[: len(body)] = body
-                respond = net.table[0].take(padded[:n], axis=0)
-                for j in range(1, width):
-                    respond += net.table[j].take(padded[j : j + n], axis=0)
-                edges = np.arange(0, n, BLOCK)
-                blocks = np.maximum.reduceat(respond, edges, axis=0)
-                k = len(edges)
-                pairs = np.stack([np.arange(max(1, k - 1)), np.minimum(np.arange(max(1, k - 1)) + 1, k - 1)])
-                left = blocks[pairs[0]] >= blocks[pairs[1]]
-                chunk_block = np.where(left, pairs[0][:, None], pairs[1][:, None])
-                chunks = np.take_along_axis(blocks, chunk_block, 0)
-                lifted = chunks + net.bias
-                on = np.tanh(np.maximum(lifted, 0))
-                best = on.argmax(0)
-                feats = np.concatenate([on.mean(0), on[best, np.arange(filters)]])
-                p = 1 / (1 + np.exp(-np.clip(feats @ net.out + net.offset, -30, 30)))
-                dz = (p - y[i]) * weight[i]
-                grad["out"] += dz * feats
-                grad["offset"] += dz
-                d_on = np.repeat((dz * net.out[:filters] / len(on))[None], len(on), 0)
-                d_on[best, np.arange(filters)] += dz * net.out[filters:]
-                d = d_on * (1 - on**2) * (lifted > 0)
-                grad["bias"] += d.sum(0)
-                per_block = np.zeros((k, filters), np.float32)
-                np.add.at(per_block, (chunk_block, np.arange(filters)[None]), d)
-                # Only the place of the greatest response of a block learns.
-                rows, cols = np.nonzero(per_block)
-                for r, c in zip(rows.tolist(), cols.tolist(), strict=True):
-                    a = r * BLOCK
-                    top = a + int(respond[a : a + BLOCK, c].argmax())
-                    grad["table"][np.arange(width), padded[top : top + width], c] += per_block[r, c]
+            part = order[at : at + BATCH].tolist()
+            grad = {p: 0.0 for p in params}
+            for i in part:
+                for p, g in net.gradient(*bodies[i], y[i], weight[i]).items():
+                    grad[p] = grad[p] + g
             step += 1
-            rate = RATE * (1 - 0.8 * epoch / max(1, epochs))
             for p in params:
                 g = grad[p] / len(part)
                 first[p] = 0.9 * first[p] + 0.1 * g
@@ -134,31 +141,32 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int =
     return net
 
 
-def training_text(text: str | None, most: int = TRAIN_BLOCKS) -> bytes:
-    """The text, or pairs of blocks spread evenly over all of a longer one."""
-    body = (text or "").encode("utf-8", "replace")
-    if len(body) <= most * BLOCK:
-        return body
-    pairs = most // 2
-    starts = np.linspace(0, len(body) - 2 * BLOCK, pairs).astype(int)
-    return b"".join(body[a : a + 2 * BLOCK] for a in starts.tolist())
-
-
-def learn(docs: DataFrame, labels: DataFrame, docs_at_most: int = TRAIN_DOCS) -> ByteNet:
-    """A net from a hash sample of the labelled rows of expected ``docs_at_most`` documents.
+def learn(docs: DataFrame, labels: DataFrame, docs_at_most: int = TRAIN_DOCS, bytes_at_most: int = TRAIN_BYTES) -> ByteNet:
+    """A net from whole texts of a hash sample of the labelled rows.
 
-    Rows of either table without doc_id, and labels without quality, are left
-    out. Of repeated labels of a document the smallest counts. The sample of
-    labels has a bounded size, so it is broadcast to the scan of the documents.
+    The sample has an expected ``docs_at_most`` rows; of these, in the order of
+    their hash, those are learned from whose texts have ``bytes_at_most`` bytes
+    together, so what comes to the driver is bounded (a text that is longer than
+    that alone is never in the sample). Rows of either table without doc_id, and
+    labels without quality, are left out. Of repeated labels of a document the
+    smallest counts; null texts are empty. The sample of labels is bounded, so it
+    is broadcast to the scan of the documents.
     """
     usable = labels.filter("doc_id is not null and quality is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     n = usable.count()
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("quality")), F.lit(1 << 30)).cast("double") / float(1 << 30)
-    sample = stage(usable.filter(draw < docs_at_most / max(n, 1)).select(F.col("doc_id").cast("long").alias("of"), "quality"), "op8-sample")
-    cut = F.arrow_udf(lambda texts: pa.array([training_text(t) for t in texts.to_pylist()], pa.binary()), "binary")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("of"))
-    got = rows.select("doc_id", cut("text").alias("body"), "quality").orderBy("doc_id", "body").collect()
-    return fit([bytes(r.body) for r in got], [r.quality for r in got])
+    sample = stage(usable.filter(draw < docs_at_most / max(n, 1)).select(F.col("doc_id").cast("long").alias("of"), "quality", draw.alias("draw")), "op8-sample")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("of"), text.alias("text"))
+    sizes = rows.join(F.broadcast(sample.select("of", "draw")), "of").groupBy("of", "draw").agg(F.sum(F.octet_length("text").cast("long")).alias("size")).collect()
+    total, chosen = 0, []
+    for r in sorted(sizes, key=lambda r: (r.draw, r.of)):
+        if total + r.size <= bytes_at_most:
+            total += r.size
+            chosen.append((r.of,))
+    few = docs.sparkSession.createDataFrame(chosen, "of long").join(sample.select("of", "quality"), "of")
+    got = rows.join(F.broadcast(few), "of").toArrow().sort_by([("of", "ascending"), ("text", "ascending")])
+    return fit([t.encode() for t in got["text"].to_pylist()], got["quality"].to_pylist())
 
 
 def quality_score(docs: DataFrame, net: ByteNet) -> Column:

@@ -37,8 +37,8 @@ FILE_OPTIONS = {
 }
 #: Pieces of text whose ids a worker keeps before it begins a new set; of the last set those stay that are met again.
 CACHE_PIECES = 120_000
-#: Bytes of text of a range partition; the number of partitions follows from it and the input.
-PART_BYTES = 256 << 20
+#: Bytes of text of a range partition, from which and the input the number of partitions follows; beyond so many partitions, they grow to PART_MOST first.
+PART_BYTES, PART_MOST, MANY_PARTS = 32 << 20, 1 << 30, 20_000
 #: Bytes of text that are encoded together.
 SLICE = 1 << 20
 FILE_SCHEMA = "part int, doc_id bigint, offset bigint, n_tokens bigint, tokens array<int>"
@@ -177,7 +177,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str | None = None, e
     crc = F.crc32(F.col("text").cast("binary"))
     if partitions is None:
         held = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-        partitions = max(docs.sparkSession.sparkContext.defaultParallelism, -(-held // PART_BYTES))
+        partitions = max(docs.sparkSession.sparkContext.defaultParallelism, min(-(-held // PART_BYTES), max(MANY_PARTS, -(-held // PART_MOST))))
 
     def encode(batches):
         enc, before = encoder(path), 0

@@ -258,11 +258,42 @@ def test_every_byte_is_seen(n):
     assert abs(net.score(body) - 1 / (1 + math.exp(-z))) < 1e-5
 
 
-def test_training_text_spans_the_whole():
-    text = "".join(f"{i:07d} " for i in range(5000))
-    cut = quality_cnn.training_text(text).decode()
-    assert cut.startswith("0000000") and cut.endswith("0004999 ") and len(cut) == quality_cnn.TRAIN_BLOCKS * quality_cnn.BLOCK
-    assert quality_cnn.training_text(None) == b"" and quality_cnn.training_text("é") == "é".encode()
+@pytest.mark.parametrize("n", [0, 3, 256, 700])
+def test_gradient_equals_differences(n):
+    """Each weight's gradient against the change of the loss."""
+    net = quality_cnn.ByteNet()
+    net.bias += 0.5
+    rng = np.random.default_rng(n)
+    body = rng.integers(0, 256, n).astype(np.uint8)
+    padded, size = net.padded(body)
+    got = net.gradient(padded, size, 1.0, 2.0)
+    loss = lambda: -2 * math.log(net.score(body))
+    cells = [("offset", None)] + [("out", (i,)) for i in range(0, 24, 5)] + [("bias", (i,)) for i in range(0, 12, 5)]
+    cells += [("table", tuple(c)) for c in np.argwhere(np.abs(got["table"]) > 1e-3)[:6].tolist()]
+    for name, cell in cells:
+        value, step = getattr(net, name), np.float32(1e-2)
+        ends = []
+        for sign in (1, -1):
+            changed = np.array(value, np.float32)
+            changed[() if cell is None else cell] += sign * step
+            setattr(net, name, changed if cell is not None else np.float32(changed))
+            ends.append(loss())
+            setattr(net, name, value)
+        want = (ends[0] - ends[1]) / (2 * float(step))
+        assert abs(want - (got[name] if cell is None else got[name][cell])) < 0.02 + 0.05 * abs(want), (name, cell)
+
+
+def test_whole_texts_are_learned_from(spark):
+    """What tells the classes apart stands in one place deep inside long texts."""
+    filler = "the house and the sea and the cat of the house " * 400
+    rows = [(i, filler[: 9000 + 37 * i] + ("~~~~ ^^^^ " * 3 if i % 2 else "") + filler) for i in range(40)]
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    net = quality_cnn.learn(docs(spark, rows), marks)
+    scores = [net.score(np.frombuffer(t.encode(), np.uint8)) for _, t in rows]
+    assert min(scores[1::2]) > max(scores[::2])
+    # The budget of bytes leaves rows out, never parts of rows.
+    few = quality_cnn.learn(docs(spark, rows), marks, bytes_at_most=len(rows[0][1]) - 1)
+    assert np.array_equal(few.table, quality_cnn.ByteNet().table)
 
 
 # -- licenses
