@@ -23,6 +23,8 @@ PROFILE = 300
 TRAIN_DOCS = 4000
 #: Least score of a document that the pipeline keeps.
 LEAST_SCORE = 0.25
+#: Characters whose n-grams are made together.
+SPAN = 1 << 18
 #: The answer for a text without letters.
 UNDETERMINED = "und"
 
@@ -38,32 +40,50 @@ def letters() -> np.ndarray:
     return _letters
 
 
-def ngrams(text: str) -> np.ndarray:
-    """Codes of all letter n-grams of ``text``, lower case: 18 bits a place, the boundary of a word is 1."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    inside = letters()[points]
-    if not inside.any():
-        return np.zeros(0, np.uint64)
-    # One boundary between words, one at either end.
-    padded = np.full(len(points) + 2, _BOUNDARY, np.uint64)
-    padded[1:-1] = np.where(inside, points & np.uint32(0x3FFFF), np.uint32(_BOUNDARY))
-    line = padded[np.concatenate([[True], (padded[1:] != _BOUNDARY) | (padded[:-1] != _BOUNDARY)])]
-    word = line != _BOUNDARY
-    two = (line[:-1] << np.uint64(18)) | line[1:]
-    three = (two[:-1] << np.uint64(18)) | line[2:]
-    return np.concatenate([line[word], two, three[word[1:-1]]])
-
-
-def ranked(codes: np.ndarray, most: int = PROFILE) -> np.ndarray:
-    """The most frequent codes, most frequent first, equal ones by code."""
-    codes = np.sort(codes)
-    edge = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-    counts = np.diff(np.append(edge, len(codes)))
-    if len(edge) > most:
+def ngrams(text: str):
+    """Codes of all letter n-grams of ``text``, lower case: 18 bits a place, the boundary of a word is 1.
+
+    Yields the n-grams that end in each span of SPAN characters, so memory doesn't
+    depend on how long the text is; the last two places go on to the next span.
+    """
+    text = text.lower()
+    line = np.full(1, _BOUNDARY, np.uint64)
+    for a in range(0, len(text) + 1, SPAN):
+        part = text[a : a + SPAN]
+        points = np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)
+        # One boundary between words, one at either end.
+        more = np.full(len(points) + (a + SPAN > len(text)), _BOUNDARY, np.uint64)
+        more[: len(points)] = np.where(letters()[points], points & np.uint32(0x3FFFF), np.uint32(_BOUNDARY))
+        before = len(line)
+        line = np.concatenate([line, more])
+        keep = np.ones(len(line), bool)
+        keep[before:] = (line[before:] != _BOUNDARY) | (line[before - 1 : -1] != _BOUNDARY)
+        line = line[keep]
+        word = line != _BOUNDARY
+        two = (line[:-1] << np.uint64(18)) | line[1:]
+        three = (two[:-1] << np.uint64(18)) | line[2:]
+        new_two, new_three = max(0, before - 1), max(0, before - 2)
+        yield np.concatenate([line[before:][word[before:]], two[new_two:], three[new_three:][word[1:-1][new_three:]]])
+        line = line[-2:]
+
+
+def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes of a text in ascending order, and how often each is there."""
+    parts = []
+    for codes in ngrams(text):
+        parts.append(np.unique(codes, return_counts=True))
+        if len(parts) == 8:
+            parts = [_summed(parts)]
+    return parts[0] if len(parts) == 1 else _summed(parts)
+
+
+def ranked(codes: np.ndarray, counts: np.ndarray, most: int = PROFILE) -> np.ndarray:
+    """The most frequent of ascending codes, most frequent first, equal ones by code."""
+    if len(codes) > most:
         least = np.partition(counts, len(counts) - most)[len(counts) - most]
         keep = counts >= least
-        edge, counts = edge[keep], counts[keep]
-    return codes[edge[np.argsort(-counts, kind="stable")]][:most]
+        codes, counts = codes[keep], counts[keep]
+    return codes[np.argsort(-counts, kind="stable")][:most]
 
 
 class Profiles:
@@ -79,10 +99,10 @@ class Profiles:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score; the score is 1 for the profile's own order and 0 where the profile has none of the n-grams."""
-        codes = ngrams(text) if text else ()
+        codes, counts = counted(text or "")
         if not len(codes) or not self.langs:
             return UNDETERMINED, 0.0
-        own = ranked(codes)
+        own = ranked(codes, counts)
         at = np.searchsorted(self.codes, own)
         at[at >= len(self.codes)] = len(self.codes) - 1
         at = np.where(self.codes[at] == own, at, len(self.codes))
@@ -109,7 +129,7 @@ def learn_profiles(training: DataFrame, per_lang: int = TRAIN_DOCS) -> Profiles:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if text:
                     parts = seen.setdefault(lang, [])
-                    parts.append(np.unique(ngrams(text), return_counts=True))
+                    parts.append(counted(text))
                     if len(parts) >= 64:
                         parts[:] = [_summed(parts)]
         for lang, parts in seen.items():
@@ -132,8 +152,9 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 def identify(docs: DataFrame, profiles: Profiles) -> Column:
     """A column ``struct<lang_pred, score>`` over the column text of ``docs``.
 
-    Null texts and texts without letters give 'und' and 0. Equal distances give
-    the language first by code point. Without any profile all texts are 'und'.
+    Null texts and texts without letters give 'und' and 0. Very long texts count
+    whole, in spans. Equal distances give the language first by code point. Without
+    any profile all texts are 'und'. Repeated rows are identified each.
     """
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 

@@ -21,7 +21,8 @@ in the corpus, and any number of templates of any length is possible.
 
 from __future__ import annotations
 
-import numpy as np
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +30,8 @@ from folioloom.llm.common import bit_table, read_table, stage
 
 #: Words of a shingle, least share of a template's shingles in a window, bands of one MinHash value each.
 SHINGLE, SHARE, BANDS = 5, 0.8, 64
-#: Flags of a table: 64 times the number of keys, from 2 ** 20 to 2 ** 24, a byte each; a key sets PROBES of them.
-LEAST_FLAGS, MOST_FLAGS, PROBES = 1 << 20, 1 << 24, 3
+#: Flags of a table: some 64 times the number of keys, from 2 ** 17 to 2 ** 22, a bit each, as the plan holds them; a key sets PROBES of them.
+LEAST_FLAGS, MOST_FLAGS, PROBES = 1 << 17, 1 << 22, 3
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
 #: Notices and grants of common licenses, by SPDX identifier.
@@ -135,15 +136,14 @@ class Flags:
 
     def __init__(self, keys: DataFrame, h: Column):
         self.size = min(MOST_FLAGS, max(LEAST_FLAGS, 1 << (64 * keys.count()).bit_length()))
-        table = bit_table(keys.select(F.explode(F.array(*_probes(h))).alias("p")), F.col("p"), self.size)
-        self.flags = F.lit(bytearray(np.unpackbits(table, bitorder="little").tobytes()))
+        self.bits = F.lit(bytearray(bit_table(keys.select(F.explode(F.array(*_probes(h))).alias("p")), F.col("p"), self.size).tobytes()))
 
     def holds(self, h: Column) -> Column:
-        places = [(p.bitwiseAND(F.lit(self.size - 1).cast("long")) + 1).cast("int") for p in _probes(h)]
-        out = F.substring(self.flags, places[0], F.lit(1)) == F.lit(bytearray(b"\x01"))
-        for p in places[1:]:
-            out = out & (F.substring(self.flags, p, F.lit(1)) == F.lit(bytearray(b"\x01")))
-        return out
+        return reduce(Column.__and__, [self._set(p.bitwiseAND(F.lit(self.size - 1).cast("long"))) for p in _probes(h)])
+
+    def _set(self, place: Column) -> Column:
+        byte = F.ascii(F.decode(F.substring(self.bits, (F.shiftright(place, 3) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+        return F.getbit(byte, place.bitwiseAND(F.lit(7).cast("long")).cast("int")) == 1
 
 
 def band_key(span: Column, band: Column, value: Column) -> Column:

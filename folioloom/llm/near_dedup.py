@@ -3,20 +3,26 @@
 1. Each text gives its set of distinct 3-word shingles (as 64-bit hashes), the
    digest of that set and a MinHash signature. Texts with the same set are one
    class; only one representative of each goes on.
-2. Representatives are posted under each (coordinate, value) of the prefix of
-   their signature. Two signatures of K coordinates that agree in at least T of
-   them agree within any K - T + 1, so the prefix of that length loses no pair.
-   Values that only one representative has are skipped.
-3. Within a posting list the agreements of the whole signatures are counted;
-   pairs above the match threshold T that aren't connected yet become edges.
-   Only a spanning forest leaves a task, never all pairs. Long lists are split
-   into blocks, and each pair of blocks is a group of its own, so no group is
-   larger than two blocks.
+2. A signature is a set of K posts (coordinate, value). Posts that only one
+   representative has are skipped. The m others are put in one order for all,
+   rarest first; two signatures that share at least T posts share one of the
+   first m - T + 1 of either, so a representative is posted under these alone,
+   and under none where m < T. So what very many texts have in common (a notice,
+   a menu) makes a long list only for those that have little else.
+3. Within a posting list the agreements of the signatures are counted; pairs with
+   at least T that aren't connected yet become edges. Only a spanning forest
+   leaves a task, never all pairs.
 4. The connected components of these edges are candidate clusters. Within each
-   the exact sets are compared, again in blocks; links are confirmed on full
-   sets, and again only a spanning forest of the links leaves a task.
+   the exact sets are compared; links are confirmed on full sets, and again only
+   a spanning forest of the links leaves a task.
 5. Components of the links are the answer.
 
+Long lists and large clusters are split into blocks. Each block is compared
+within itself and with one pivot of its group, which is copied to all blocks.
+Rows that are connected to the pivot by then are of one component, so only the
+others meet the rows of further blocks, a pair of blocks a group. A group of
+near copies therefore costs in proportion to its size, however large it is.
+
 T follows from the least similarity: a pair just at it agrees in fewer than T of
 K coordinates with a chance of at most 1e-4 (6e-5 at 0.85, T = 13), and is then
 missed only if no other candidates connect the two.
@@ -50,7 +56,7 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE):
     for a, b in slices(texts):
         words = Words(*utf8_buffer(texts.slice(a, b - a)), SPACED)
         shingles = words.windows(size)
-        short = {k: words.windows(k) for k in range(1, size)}
+        short = dict(words.window_hashes(range(1, size)))
         for first, stop in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
             n = stop - first
             if n >= size:
@@ -149,32 +155,42 @@ def group_bounds(table: pa.Table, keys: int) -> np.ndarray:
 
 
 def match_edges(batches, least: int):
-    """Rows (list, bi, bj, block, rep, sig) sorted by the first three; edges of pairs with at least ``least`` agreements."""
+    """Rows (group, bi, bj, side, pivot, rep, sig) sorted by the first three; edges of pairs with at least ``least`` agreements, and what stays apart from the pivot."""
     for table in by_group(batches, 3):
         bounds = group_bounds(table, 3)
         sizes = np.diff(bounds)
         ends = np.repeat(bounds[1:], sizes)
-        block, rep = np.asarray(table["block"]), np.asarray(table["rep"])
+        side, rep = np.asarray(table["side"]), np.asarray(table["rep"])
         across = np.asarray(table["bi"]) != np.asarray(table["bj"])
         sig = np.asarray(table["sig"].combine_chunks().flatten()).reshape(-1, K)
         forest, edges = Forest(len(rep)), []
         rows = np.arange(len(rep))
         for d in range(1, int(sizes.max())):
             rows = rows[rows + d < ends[rows]]
-            # Skip what is connected already, and pairs of one block where two blocks meet.
+            # Skip what is connected already, and pairs of one side where two blocks meet.
             todo = rows[forest.label[rows] != forest.label[rows + d]]
-            todo = todo[~across[todo] | (block[todo] != block[todo + d])]
+            todo = todo[~across[todo] | (side[todo] != side[todo + d])]
             if len(todo):
                 todo = todo[(sig[todo] == sig[todo + d]).sum(1) >= least]
                 if len(todo):
                     edges += forest.join(todo, todo + d)
-        yield edge_batch(rep, edges)
+        yield edge_batch(table, rep, edges, forest, bounds)
     release()
 
 
-def edge_batch(rep: np.ndarray, edges: list[tuple[int, int]]) -> pa.RecordBatch:
+def edge_batch(table: pa.Table, rep: np.ndarray, edges: list[tuple[int, int]], forest: Forest, bounds: np.ndarray) -> pa.RecordBatch:
+    """(group, u, v): the edges, with group null; and for each row of a group with a pivot that isn't connected to it, the row as u, with v null."""
     pairs = np.array(edges, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(rep[pairs[:, 0]].astype(np.int64)), pa.array(rep[pairs[:, 1]].astype(np.int64))], ["u", "v"])
+    pivot = np.flatnonzero(np.asarray(table["pivot"]))
+    group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    of_pivot = np.full(len(bounds) - 1, -1)
+    of_pivot[group[pivot]] = forest.label[pivot]
+    apart = np.flatnonzero((of_pivot[group] >= 0) & (of_pivot[group] != forest.label))
+    u = np.concatenate([rep[pairs[:, 0]], rep[apart]]).astype(np.int64)
+    v = np.concatenate([rep[pairs[:, 1]], rep[apart]]).astype(np.int64)
+    is_edge = np.arange(len(u)) < len(pairs)
+    groups = np.concatenate([np.zeros(len(pairs), np.int64), np.asarray(table.column(0))[apart].astype(np.int64)])
+    return pa.RecordBatch.from_arrays([pa.array(groups, mask=is_edge), pa.array(u), pa.array(v, mask=~is_edge)], ["group", "u", "v"])
 
 
 def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -199,7 +215,7 @@ def linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def link_edges(batches, percent: int):
-    """Rows (cluster, bi, bj, block, rep, set) sorted by the first three; edges of confirmed links."""
+    """Rows (group, bi, bj, side, pivot, rep, set) sorted by the first three; edges of confirmed links, and what stays apart from the pivot."""
     for table in by_group(batches, 3):
         bounds = group_bounds(table, 3)
         rep, sets = np.asarray(table["rep"]), table["set"].combine_chunks()
@@ -209,15 +225,53 @@ def link_edges(batches, percent: int):
                 own = [np.frombuffer(s, "<u8") for s in sets.slice(a, b - a).to_pylist()]
                 left, right = np.nonzero(np.triu(linked(own, percent), 1))
                 edges += forest.join(left + a, right + a)
-        yield edge_batch(rep, edges)
+        yield edge_batch(table, rep, edges, forest, bounds)
     release()
 
 
-def in_blocks(n: Column, of: Column) -> tuple[Column, Column]:
-    """The block of a row in a group of ``n`` blocks, and all pairs of blocks it takes part in."""
-    block = F.pmod(F.xxhash64(of), n).cast("long")
-    pairs = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda j: F.struct(F.least(block, j).alias("bi"), F.greatest(block, j).alias("bj")))
-    return block, pairs
+EDGES = "group bigint, u bigint, v bigint"
+
+
+def forest_of(members: DataFrame, value: str, compare, name: str) -> DataFrame:
+    """Edges (u, v) of a spanning forest of the pairs that ``compare`` finds within the groups of ``members``.
+
+    ``members`` is a staged table (group, blocks, rep, ``value``); a group has
+    about ``blocks`` blocks of rows, by the hash of rep. First every block is
+    compared within itself and with the group's pivot, the row of the least rep.
+    Then the rows that aren't connected to the pivot meet all blocks of their
+    group, in blocks of their own. Pairs that neither step compares are both
+    connected to the pivot.
+    """
+    zero, no = F.lit(0).cast("long"), F.lit(False)
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("long")
+    sized = members.filter("blocks > 1").groupBy("group").agg(F.min("rep").alias("first"))
+    large = stage(sized, f"{name}-pivots")
+    own = members.join(large, "group", "left").select("group", block.alias("bi"), block.alias("bj"), zero.alias("side"), F.coalesce(F.col("rep") == F.col("first"), no).alias("pivot"), "rep", value, "blocks")
+    pivots = own.filter("pivot")
+    others = F.filter(F.sequence(zero, F.col("blocks") - 1), lambda b: b != F.col("bi"))
+    copies = pivots.select("group", F.explode(others).alias("b"), "side", "pivot", "rep", value).select("group", F.col("b").alias("bi"), F.col("b").alias("bj"), "side", "pivot", "rep", value)
+    first = stage(_compared(own.drop("blocks").unionByName(copies), compare), f"{name}-first")
+    apart = first.filter("v is null").select("group", F.col("u").alias("rep")).distinct()
+    counts = apart.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    if counts.isEmpty():
+        return first.filter("v is not null").select("u", "v")
+    share = members.select("group", "blocks").join(counts, "group").groupBy("group").agg(F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("blocks").alias("blocks"))
+    # Blocks of the rows that are apart are as large as those of all rows.
+    share = stage(share.select("group", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("blocks") * F.col("n") / F.col("rows")).cast("long")).alias("more")), f"{name}-shares")
+    all_rows = members.join(share, "group").select("group", block.alias("bi"), "rep", value, "blocks", "more")
+    here = all_rows.select("group", "bi", F.explode(F.sequence(zero, F.col("more") - 1)).alias("bj"), "rep", value, zero.alias("side"))
+    own_block = F.pmod(F.xxhash64("rep"), F.col("more")).cast("long")
+    # A row that stays apart can't be told from others by its value; it is fetched by its id.
+    there = all_rows.join(stage(apart, f"{name}-apart"), ["group", "rep"], "left_semi").select("group", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("bi"), own_block.alias("bj"), "rep", value, F.lit(1).cast("long").alias("side"))
+    # Sides are told apart by ``side``, so no number of a block may say that they are one.
+    met = here.unionByName(there).select("group", "bi", (-F.col("bj") - 1).alias("bj"), "side", no.alias("pivot"), "rep", value)
+    second = stage(_compared(met, compare), f"{name}-second")
+    return first.unionByName(second).filter("v is not null").select("u", "v")
+
+
+def _compared(rows: DataFrame, compare) -> DataFrame:
+    grouped = rows.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj", "rep")
+    return grouped.mapInArrow(compare, EDGES).filter("v is null or u != v").distinct()
 
 
 def near_duplicates(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT, uid: str | None = None) -> DataFrame:
@@ -262,31 +316,31 @@ def near_duplicates(rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 def _candidates(classes: DataFrame, least: int) -> DataFrame:
     """Edges (u, v) of a spanning forest of the pairs with at least ``least`` agreements."""
     key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
-    posts = classes.select("rep", F.posexplode(F.slice("sig", 1, K - least + 1)).alias("pos", "value")).select("rep", key.alias("list"))
-    lists = stage(posts.groupBy("list").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "op7-lists")
-    block, pairs = in_blocks(F.ceil(F.col("n") / LIST_BLOCK).cast("long"), F.col("rep"))
-    member = stage(posts.join(lists, "list").select("list", "rep", "n"), "op7-posts")
-    placed = member.join(classes.select("rep", "sig"), "rep").select("list", block.alias("block"), "rep", "sig", F.explode(pairs).alias("p"))
-    placed = placed.select("list", "p.bi", "p.bj", "block", "rep", "sig")
-    grouped = placed.repartition("list", "bi", "bj").sortWithinPartitions("list", "bi", "bj", "rep")
-    return stage(grouped.mapInArrow(lambda batches: match_edges(batches, least), "u bigint, v bigint").distinct(), "op7-edges")
+    posts = classes.select("rep", F.posexplode("sig").alias("pos", "value")).select("rep", key.alias("group"))
+    shared = stage(posts.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "op7-shared")
+    known = stage(posts.join(shared, "group"), "op7-known")
+    # At most K posts of a representative, the rarest first.
+    ordered = known.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "group"))).alias("posts")).filter(F.size("posts") >= least)
+    posted = stage(ordered.select("rep", F.explode(F.slice("posts", F.lit(1), F.size("posts") - (least - 1))).alias("p")).select("rep", "p.group"), "op7-posted")
+    lists = stage(posted.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("group", F.ceil(F.col("n") / LIST_BLOCK).cast("long").alias("blocks")), "op7-lists")
+    member = stage(posted.join(lists, "group"), "op7-posts")
+    members = stage(member.join(classes.select("rep", "sig"), "rep").select("group", "blocks", "rep", "sig"), "op7-lists-of-signatures")
+    return forest_of(members, "sig", lambda batches: match_edges(batches, least), "op7-match")
 
 
 def _links(texts: DataFrame, classes: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
     """Edges (u, v) of a spanning forest of the confirmed links within each cluster."""
-    member = stage(clusters.join(classes.select(F.col("rep").alias("node"), "rk", "key", "n"), "node").select(F.col("node").alias("rep"), F.col("root").alias("cluster"), "rk", "key", "n"), "op7-members")
-    held = member.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
+    member = stage(clusters.join(classes.select(F.col("rep").alias("node"), "rk", "key", "n"), "node").select(F.col("node").alias("rep"), F.col("root").alias("group"), "rk", "key", "n"), "op7-members")
+    held = member.groupBy("group").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("docs") / CLUSTER_BLOCK), F.ceil(F.col("shingles") / CLUSTER_SHINGLES)).cast("long")
-    held = stage(held.select("cluster", blocks.alias("blocks")), "op7-held")
-    placed = stage(member.join(held, "cluster"), "op7-placed")
+    held = stage(held.select("group", blocks.alias("blocks")), "op7-held")
+    placed = stage(member.join(held, "group"), "op7-placed")
     # Most documents are in no cluster; a bitmap of fixed size keeps their texts from the shuffle.
     mine = texts.filter(within_bitmap(placed, "rk", F.col("rk")))
     sets = F.arrow_udf(lambda t: _digest_and_set(t, size), "struct<key binary, set binary>").asNondeterministic()
-    block, pairs = in_blocks(F.col("blocks"), F.col("rep"))
-    found = mine.join(placed.withColumnRenamed("key", "own"), "rk").select("rk", "rep", "cluster", "blocks", "own", sets("text").alias("s")).filter(F.col("s.key") == F.col("own"))
-    found = found.select("cluster", block.alias("block"), "rep", F.col("s.set").alias("set"), F.explode(pairs).alias("p")).select("cluster", "p.bi", "p.bj", "block", "rep", "set")
-    grouped = found.repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj", "rep")
-    return grouped.mapInArrow(lambda batches: link_edges(batches, percent), "u bigint, v bigint").filter("u != v").distinct()
+    found = mine.join(placed.withColumnRenamed("key", "own"), "rk").select("rep", "group", "blocks", "own", sets("text").alias("s")).filter(F.col("s.key") == F.col("own"))
+    members = stage(found.select("group", "blocks", "rep", F.col("s.set").alias("set")).dropDuplicates(["group", "rep"]), "op7-sets")
+    return forest_of(members, "set", lambda batches: link_edges(batches, percent), "op7-link").filter("u != v").distinct()
 
 
 def _digest_and_set(texts: pa.Array, size: int) -> pa.Array:

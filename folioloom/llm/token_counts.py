@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from folioloom.llm.common import read_table, resident, slices
 from folioloom.llm.token_files import default_tokenizer
 
-#: Most words whose length a worker keeps; when full it starts anew.
-CACHE_WORDS = 1_500_000
+#: Most words whose length a worker keeps, and most bytes of one; when full it starts anew.
+CACHE_WORDS, CACHE_WORD = 400_000, 48
 
 
 def byte_of_mark() -> dict[str, int]:
@@ -112,9 +112,13 @@ class PieceAutomaton:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        for w in set(words).difference(known):
+        distinct = set(words)
+        long = {w for w in distinct if len(w) > CACHE_WORD}
+        for w in distinct.difference(known) - long:
             known[w] = self.count(w)
-        return sum(map(known.__getitem__, words))
+        if not long:
+            return sum(map(known.__getitem__, words))
+        return sum(self.count(w) if w in long else known[w] for w in words)
 
 
 def automaton(path: str) -> PieceAutomaton:
@@ -125,7 +129,7 @@ def token_counts(docs: DataFrame, vocabulary_file: str | None = None) -> DataFra
     """doc_id, n_words and n_pieces of each row of ``docs``.
 
     Words are runs of anything but ASCII white space. Null and empty texts have
-    0 words and 0 pieces. Repeated rows are counted each; other columns are not
+    0 words and 0 pieces; very long ones are counted whole. Repeated rows are counted each; other columns are not
     read; an empty table gives an empty result.
     """
     path = vocabulary_file or default_tokenizer()

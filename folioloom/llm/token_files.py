@@ -35,8 +35,8 @@ FILE_OPTIONS = {
     "parquet.dictionary.page.size": str(1 << 20),
     "parquet.writer.version": "PARQUET_2_0",
 }
-#: Pieces of text whose ids a worker keeps before it begins a new set; of the last set those stay that are met again.
-CACHE_PIECES = 120_000
+#: Pieces of text whose ids a worker keeps before it begins a new set, of so many bytes at most; of the last set those stay that are met again.
+CACHE_PIECES, CACHE_PIECE = 120_000, 48
 #: Bytes of text of a range partition, from which and the input the number of partitions follows; beyond so many partitions, they grow to PART_MOST first.
 PART_BYTES, PART_MOST, MANY_PARTS = 32 << 20, 1 << 30, 20_000
 #: Bytes of text that are encoded together.
@@ -109,6 +109,9 @@ class PieceEncoder:
             self._learn(missing)
         if None in held:
             held = [known[p] if x is None else x for p, x in zip(unique, held, strict=True)]
+        for p in missing:
+            if len(p) > CACHE_PIECE:
+                del known[p]
         # The end id is one piece more, behind the last piece of each text.
         table = np.frombuffer(b"".join(held) + np.uint32(end_id).tobytes(), "<u4")
         lengths = np.array([len(x) // 4 for x in held] + [1], np.int64)

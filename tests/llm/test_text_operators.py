@@ -214,7 +214,15 @@ def plain_profile(texts, most):
 
 def test_ngrams_and_ranks_equal_a_plain_count():
     for text in ("The cat, the hat.", "é É ß a", "one", "a1b", "x-y z", "Äpfel über alles " * 30):
-        assert language_id.ranked(language_id.ngrams(text), 50).tolist() == plain_profile([text], 50)
+        assert language_id.ranked(*language_id.counted(text), 50).tolist() == plain_profile([text], 50)
+
+
+def test_spans_do_not_change_ngrams(monkeypatch):
+    texts = ["", " ", "a", "The cat,  the hat. " * 9, "x" * 70, "ab--cd é ", "1 2 3", "wörter und ΣΑΣ"]
+    whole = [[x.tolist() for x in language_id.counted(t)] for t in texts]
+    for span in (1, 2, 3, 7):
+        monkeypatch.setattr(language_id, "SPAN", span)
+        assert [[x.tolist() for x in language_id.counted(t)] for t in texts] == whole
 
 
 def test_distance_equals_a_plain_sum():
