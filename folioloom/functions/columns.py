@@ -16,19 +16,19 @@ def _c(x: Column | str) -> Column:
 # -- paths
 
 
-def bare_path(path: Column | str) -> Column:
-    """The path without query and fragment."""
-    return F.regexp_replace(_c(path), r"[?#].*$", "")
+def bare_url(url: Column | str) -> Column:
+    """A URL without query and fragment; file names may hold the marks of both, so paths of files are taken as they are."""
+    return F.regexp_replace(_c(url), r"[?#].*$", "")
 
 
 def name_of_path(path: Column | str) -> Column:
     """Last component of a path; null for null."""
-    return F.element_at(F.split(bare_path(path), "/"), -1)
+    return F.element_at(F.split(_c(path), "/"), -1)
 
 
 def book_of_path(path: Column | str) -> Column:
     """Name of the folder that directly holds the file; null where there is none."""
-    return F.try_element_at(F.split(bare_path(path), "/"), F.lit(-2))
+    return F.try_element_at(F.split(_c(path), "/"), F.lit(-2))
 
 
 def extension_of(name: Column | str) -> Column:
@@ -40,11 +40,25 @@ def extension_of(name: Column | str) -> Column:
 
 
 def fitted_size(width: Column | str, height: Column | str, most_wide: int = 800, most_high: int = 800) -> Column:
-    """struct(width, height) that fits the bound with the aspect kept; never enlarged, at least one pixel."""
-    w, h = _c(width).cast("double"), _c(height).cast("double")
-    scale = F.least(F.lit(1.0), F.lit(float(most_wide)) / w, F.lit(float(most_high)) / h)
-    side = lambda x: F.greatest(F.lit(1).cast("long"), F.floor(x * scale + F.lit(0.5)).cast("long"))
-    return F.struct(side(w).alias("width"), side(h).alias("height"))
+    """struct(width, height) of a picture fitted to the bound as Pillow's ``thumbnail`` fits it: never enlarged, at least one pixel.
+
+    The side that doesn't touch the bound is rounded up or down, to whichever
+    keeps the aspect better; down where both are as good.
+    """
+    w, h = _c(width).cast("long"), _c(height).cast("long")
+    aspect = w.cast("double") / h.cast("double")
+    wide, high = F.lit(float(most_wide)), F.lit(float(most_high))
+
+    def rounded(x: Column, off) -> Column:
+        down, up = F.floor(x).cast("long"), F.ceil(x).cast("long")
+        return F.greatest(F.when(off(up) < off(down), up).otherwise(down), F.lit(1).cast("long"))
+
+    by_height = rounded(high * aspect, lambda n: F.abs(aspect - n.cast("double") / high))
+    by_width = rounded(wide / aspect, lambda n: F.when(n == 0, 0.0).otherwise(F.abs(aspect - F.try_divide(wide, n.cast("double")))))
+    fits, tall = (w <= most_wide) & (h <= most_high), wide / high >= aspect
+    out_w = F.when(fits, w).when(tall, by_height).otherwise(F.lit(most_wide).cast("long"))
+    out_h = F.when(fits, h).when(tall, F.lit(most_high).cast("long")).otherwise(by_width)
+    return F.struct(out_w.alias("width"), out_h.alias("height"))
 
 
 def base64_unbroken(data: Column | str) -> Column:

@@ -11,21 +11,23 @@ from folioloom.plans.schemas import ANALYSES, CATALOGUE
 
 
 def gather(images: DataFrame, analyses: dict[str, DataFrame]) -> DataFrame:
-    """Images (book_id, images_data) with every analysis's record, status and error; books without a row of an analysis get status 'missing'.
+    """Images (book_id, images_data, ...) with every analysis's record, status and error; books without a row of an analysis get status 'missing'.
 
     All sides are keyed by book_id with one row each, so the joins share one
-    partitioning and nothing multiplies.
+    partitioning and nothing multiplies. The records meet first: image bytes move
+    once, in the last join.
     """
 
     def add(left: DataFrame, name: str) -> DataFrame:
         right = analyses[name].select("book_id", F.col("record").alias(name), F.col("status").alias(f"{name}_status"), F.col("error").alias(f"{name}_error"))
         return left.join(right, "book_id", "left").withColumn(f"{name}_status", F.coalesce(f"{name}_status", F.lit("missing")))
 
-    return reduce(add, [n for n in ANALYSES if n in analyses], images)
+    records = reduce(add, [n for n in ANALYSES if n in analyses], images.select("book_id"))
+    return images.join(records, "book_id")
 
 
 def catalogue(gathered: DataFrame) -> DataFrame:
-    """The 23 columns of the catalogue, then status and error of each analysis.
+    """The 23 columns of the catalogue, then status and error of each analysis, and of the images where they are given.
 
     A value that a record has as null stays null; nothing is defaulted here. The
     year of publication comes from the main record, which alone has it.
@@ -57,4 +59,5 @@ def catalogue(gathered: DataFrame) -> DataFrame:
         "raw_analysis": F.col("raw_analysis"),
     }
     kept = [F.col(f"{n}_{x}") for n in ANALYSES for x in ("status", "error") if f"{n}_{x}" in gathered.columns]
+    kept += [F.col(c) for c in ("images_status", "n_failed", "errors") if c in gathered.columns]
     return gathered.select(*[values[name].alias(name) for name in CATALOGUE.names], *kept)

@@ -121,7 +121,8 @@ def gather_images(images: DataFrame, books: DataFrame | None = None, policy: str
     """One row per book: images in order, their number and bytes, and failures.
 
     policy 'drop' leaves failed pictures out; 'fail' gives a book with any failure
-    no images and status 'failed'. ``books`` adds books without pictures as empty.
+    no images and status 'failed'. ``books`` adds books without pictures (a PDF
+    without pages), with no images and status 'empty'.
     """
     if policy not in ("fail", "drop"):
         raise ValueError(f"unknown policy {policy!r}")
@@ -133,7 +134,7 @@ def gather_images(images: DataFrame, books: DataFrame | None = None, policy: str
     kept = F.coalesce("images_data", F.array().cast("array<binary>"))
     if policy == "fail":
         kept = F.when(F.coalesce("n_failed", F.lit(0)) > 0, F.array().cast("array<binary>")).otherwise(kept)
-    status = F.when(F.coalesce("n_failed", F.lit(0)) == 0, "ok").otherwise("failed" if policy == "fail" else "partial")
+    status = F.when(F.coalesce("n_failed", F.lit(0)) > 0, "failed" if policy == "fail" else "partial").when(F.size(kept) == 0, "empty").otherwise("ok")
     out = held.select("book_id", kept.alias("images_data"), F.coalesce("n_failed", F.lit(0).cast("long")).alias("n_failed"), F.coalesce("errors", F.array().cast("array<string>")).alias("errors"), status.alias("images_status"))
     return out.withColumn("n_images", F.size("images_data").cast("long"))
 

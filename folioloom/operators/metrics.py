@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.functions import base64_unbroken, extension_of, megabytes, present
@@ -49,3 +49,10 @@ def observed(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     status = [c for c in rows.columns if c.endswith("_status")]
     counts = [F.count(F.when(~F.col(c).isin("ok", "success"), 1)).alias(f"not_ok_{c.removesuffix('_status')}") for c in status]
     return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
+def stage_memory(spark: SparkSession) -> list[tuple[int, str, float]]:
+    """(stage, name, MB) of the stages that this application still keeps: the greatest execution memory of a task of each."""
+    jvm = spark._jvm
+    held = spark._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return [(s.stageId(), s.name(), s.peakExecutionMemory() / (1024 * 1024)) for s in (held.apply(i) for i in range(held.size()))]

@@ -11,13 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.functions import ascii_safe, confidence_band, isbn_ok, severity_rank
-from folioloom.plans.schemas import CONDITION_ALIASES, NO_BLURB, PRINT_TYPE_ALIASES, TEXT_CONFIDENCE
-
-# -- fixed values: closed domains
-READABILITY = ("no impact", "slight impact", "moderate impact", "significant impact", "severe impact", "illegible")
-URGENCY = ("none needed", "routine care", "preventive measures", "immediate attention", "critical intervention required")
-COVERS = ("rigid cardboard/board", "flexible card stock", "paper", "cloth", "leather", "synthetic material", "unknown")
-BINDINGS = ("sewn binding", "perfect binding (glued)", "saddle stitch (stapled)", "spiral bound", "loose leaf", "unknown")
+from folioloom.plans.schemas import BINDINGS, CONDITION_ALIASES, COVERS, NO_BLURB, PRINT_TYPE_ALIASES, READABILITY, TEXT_CONFIDENCE, URGENCY
 
 
 def in_domain(value: Column, domain: tuple[str, ...]) -> Column:
@@ -36,6 +30,11 @@ def agreement_ok(images: Column, notes: Column, flag: Column) -> Column:
     return same == flag
 
 
+def blurb_text(value: Column) -> Column:
+    """The blurb, or null where the record says that there is none, or has nothing."""
+    return F.when((F.lower(F.trim(value)) != NO_BLURB) & (F.trim(value) != ""), value)
+
+
 def _all(array: Column, rule) -> Column:
     return F.when(F.size(array) > 0, F.forall(array, rule))
 
@@ -49,6 +48,39 @@ def _same_text(a: Column, b: Column) -> Column:
     return F.lower(F.trim(a)) == F.lower(F.trim(b))
 
 
+#: Names of the rules; the last one needs a list of countries.
+RULES = (
+    "isbn_13",
+    "isbn_10",
+    "isbn_10_with_x",
+    "year",
+    "main_confidence",
+    "publishing_confidence",
+    "text_confidence",
+    "severity",
+    "readability",
+    "urgency",
+    "cover",
+    "binding",
+    "image_numbers",
+    "one_observation_per_image",
+    "image_count",
+    "latin_is_ascii",
+    "agreement",
+    "names_distinct",
+    "names_from_candidates",
+    "blurb",
+    "distributor_is_other",
+    "translator_has_evidence",
+    "indonesian_title",
+    "condition",
+    "print_type",
+    "roles",
+    "two_images",
+    "country",
+)
+
+
 def rules(countries: tuple[str, ...] | None = None, domains: dict[str, tuple[str, ...]] | None = None) -> dict[str, Column]:
     """Rule name -> flag over a catalogue row. ``domains`` replaces closed domains by name; ``countries`` lists English country names."""
     own = {"readability": READABILITY, "urgency": URGENCY, "cover": COVERS, "binding": BINDINGS} | (domains or {})
@@ -82,7 +114,8 @@ def rules(countries: tuple[str, ...] | None = None, domains: dict[str, tuple[str
         "agreement": _joined(*[_all(x["dataComparisons"], lambda d: agreement_ok(d["fromImages"], d["fromNotes"], d["agreement"])) for x in (main, pub)]),
         "names_distinct": F.size(F.array_distinct(hints["bookNERData"])) == F.size(hints["bookNERData"]),
         "names_from_candidates": F.size(F.array_except(hints["bookNERData"], hints["nerCandidates"])) == 0,
-        "blurb": F.nullif(F.lower(F.trim(hints["bookBlurbText"])), F.lit(NO_BLURB)).isNotNull(),
+        # A book has a blurb or says that there is none; nothing at all is neither.
+        "blurb": F.when(F.col("book_content_hints").isNotNull(), F.coalesce(F.trim(hints["bookBlurbText"]) != "", F.lit(False))),
         "distributor_is_other": ~_same_text(pub["distributor_name"]["original_script"], pub["publisher_name"]["original_script"]),
         "translator_has_evidence": F.when(F.size(main["translator"]) > 0, F.coalesce(F.exists(evidence, lambda e: F.lower(e["textType"]).contains("translator")), F.lit(False))),
         "indonesian_title": F.when(F.exists(main["language"], lambda x: F.lower(x).isin("indonesian", "indonesia", "bahasa indonesia", "id")), _same_text(main["title"]["title_in_indonesian"], main["title"]["title_in_origin_script"])),
@@ -102,6 +135,7 @@ def check(records: DataFrame, **settings) -> DataFrame:
     flagged = records.select(
         "book_id",
         *[flag.alias(f"ok_{name}") for name, flag in found.items()],
+        blurb_text(F.col("book_content_hints.bookBlurbText")).isNotNull().alias("has_blurb"),
         confidence_band(F.col("book_main_data.confidence")).alias("main_band"),
         confidence_band(F.col("book_pub_and_dist_details.confidence")).alias("publishing_band"),
     )

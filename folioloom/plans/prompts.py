@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioloom.plans.schemas import ANALYSES, CONDITION_ALIASES, NO_BLURB, PRINT_TYPE_ALIASES, SEVERITIES, TEXT_CONFIDENCE
+from folioloom.plans.schemas import ANALYSES, BINDINGS, CONDITION_ALIASES, COVERS, NO_BLURB, PRINT_TYPE_ALIASES, READABILITY, SEVERITIES, TEXT_CONFIDENCE, URGENCY
 
 #: What each analysis is asked to do; our own words.
 TASKS = {
     "raw_analysis": "Describe what each photograph shows: the cover, the back cover, the colophon page, and any other page. Two or more photographs are expected.",
     "book_condition_data": (
         "Judge the physical condition and the kind of print. Give one physical observation for each photograph, with a severity out of "
-        f"{', '.join(SEVERITIES)}. Condition is one of {', '.join(f'{a} ({n})' for a, n in CONDITION_ALIASES.items())}; "
+        f"{', '.join(SEVERITIES)} and a readability impact out of {', '.join(READABILITY)}. Preservation urgency begins with one of {', '.join(URGENCY)}; "
+        f"cover material is one of {', '.join(COVERS)}; binding is one of {', '.join(BINDINGS)}. Condition is one of {', '.join(f'{a} ({n})' for a, n in CONDITION_ALIASES.items())}; "
         f"print type is one of {', '.join(f'{a} ({n})' for a, n in PRINT_TYPE_ALIASES.items())}."
     ),
     "book_content_hints": f"Collect names, snippets and clues about the content, whether the book is fiction, and its genres. List each name once. Without a blurb, write '{NO_BLURB}'.",

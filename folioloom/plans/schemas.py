@@ -26,10 +26,17 @@ PRINT_TYPE_ALIASES = {"pt1": "HARDCOVER", "pt2": "PAPERBACK", "pt3": "FOTOKOPI"}
 TEXT_CONFIDENCE = ("high", "medium", "low")
 SEVERITIES = ("none", "minimal", "minor", "moderate", "major", "severe", "critical")
 NO_BLURB = "no blurb text available"
+READABILITY = ("no impact", "slight impact", "moderate impact", "significant impact", "severe impact", "illegible")
+URGENCY = ("none needed", "routine care", "preventive measures", "immediate attention", "critical intervention required")
+COVERS = ("rigid cardboard/board", "flexible card stock", "paper", "cloth", "leather", "synthetic material", "unknown")
+BINDINGS = ("sewn binding", "perfect binding (glued)", "saddle stitch (stapled)", "spiral bound", "loose leaf", "unknown")
+# -- fixed value: the temperature of the model calls
+TEMPERATURE = 0.8
 # -- fixed values: supported files
 IMAGE_EXTENSIONS = (".jpg", ".jpeg", ".png", ".bmp", ".tiff", ".tif", ".webp")
 PDF_EXTENSIONS = (".pdf",)
 
+# -- fixed values: the fields of the record contracts
 RAW = _struct(coverPageDescription=_S, backCoverDescription=_S, colophonPageDescription=_S, otherPageDescriptions=_S)
 
 CONDITION = _struct(

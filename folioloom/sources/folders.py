@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioloom.functions import book_of_path, extension_of, name_of_path
+from folioloom.plans.providers import HttpProvider
 from folioloom.plans.schemas import IMAGE_EXTENSIONS, PDF_EXTENSIONS
 
 LISTING = "book_id string, path string, name string, length bigint"
@@ -64,13 +65,21 @@ class Settings:
         own = {k.removeprefix(prefix).lower(): v for k, v in found.items() if k.startswith(prefix)}
         return Settings(own.pop("api_key", None), own.pop("warehouse", None), own)
 
+    def provider(self) -> HttpProvider:
+        """The provider that ``url`` and ``model`` name, with the key."""
+        missing = [k for k in ("url", "model") if k not in self.extra]
+        if missing:
+            raise ValueError(f"settings lack {' and '.join(missing)}")
+        return HttpProvider(self.extra["url"], self.extra["model"], self.api_key)
+
 
 def list_folders(spark: SparkSession, folders: list[str]) -> tuple[DataFrame, DataFrame]:
     """Files directly in each folder, and the folders that can't be used with the reason.
 
     Through Hadoop's file system, so any store works; files of 0 bytes are listed,
     which ``binaryFile`` leaves out. The driver lists one folder after the other:
-    for very many books use ``scan_root``.
+    for very many books use ``scan_root``. Names are taken as they are: no mark in
+    them is a pattern.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     files, rejects = [], []
@@ -90,15 +99,21 @@ def list_folders(spark: SparkSession, folders: list[str]) -> tuple[DataFrame, Da
     return spark.createDataFrame(files, LISTING), spark.createDataFrame(rejects, REJECTS)
 
 
+def literal_glob(path: str) -> str:
+    """A pattern that matches just ``path``: Spark's readers take every path as a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def in_book_of(path: str, root: str) -> Column:
     """Whether a path is a file of a folder directly below ``root``; files that lie in ``root`` itself are of no book."""
     bare = re.sub(r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "", root).rstrip("/")
-    return F.col(path).rlike(re.escape(bare) + r"/[^/]+/[^/]+$")
+    own = F.regexp_replace(path, r"^[A-Za-z0-9+.-]+:(//[^/]*)?", "")
+    return F.startswith(own, F.lit(f"{bare}/")) & (F.size(F.split(F.substring(own, F.lit(len(bare) + 2), F.length(own)), "/")) == 2)
 
 
 def scan_root(spark: SparkSession, root: str) -> DataFrame:
     """Files directly in each folder below ``root``, as a distributed listing; contents aren't opened. Empty files are left out."""
-    listed = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*").select("path", "length").filter(in_book_of("path", root))
+    listed = spark.read.format("binaryFile").load(f"{literal_glob(root.rstrip('/'))}/*").select("path", "length").filter(in_book_of("path", root))
     return listed.select(book_of_path("path").alias("book_id"), "path", name_of_path("path").alias("name"), "length")
 
 
@@ -139,7 +154,7 @@ def load_contents(spark: SparkSession, sources: DataFrame) -> DataFrame:
     paths = [r.path for r in sources.select("path").distinct().collect()]  # the scan takes its paths from the driver
     if not paths:
         return sources.withColumn("content", F.lit(None).cast("binary"))
-    read = spark.read.format("binaryFile").load(paths).select("path", "content")
+    read = spark.read.format("binaryFile").load([literal_glob(p) for p in paths]).select("path", "content")
     return sources.join(read, "path", "left")
 
 
@@ -157,5 +172,5 @@ def load_root(spark: SparkSession, root: str, config: SourceConfig = SourceConfi
     are left out, as ``binaryFile`` leaves them out.
     """
     sources = select_sources(scan_root(spark, root), config)
-    read = spark.read.format("binaryFile").option("pathGlobFilter", any_case_glob(config.supported)).load(f"{root.rstrip('/')}/*")
+    read = spark.read.format("binaryFile").option("pathGlobFilter", any_case_glob(config.supported)).load(f"{literal_glob(root.rstrip('/'))}/*")
     return sources.join(read.select("path", "content"), "path")

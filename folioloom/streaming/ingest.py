@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from folioloom.functions import book_of_path, name_of_path
-from folioloom.sources.folders import SourceConfig, in_book_of, supported_files
+from folioloom.sources.folders import SourceConfig, in_book_of, literal_glob, supported_files
 
 
 def new_files(spark: SparkSession, root: str, config: SourceConfig = SourceConfig()) -> DataFrame:
     """A stream of supported files that appear in the folders below ``root``, with content."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    files = spark.readStream.format("binaryFile").schema(schema).load(f"{root.rstrip('/')}/*").filter(in_book_of("path", root))
+    files = spark.readStream.format("binaryFile").schema(schema).load(f"{literal_glob(root.rstrip('/'))}/*").filter(in_book_of("path", root))
     return supported_files(files.select(book_of_path("path").alias("book_id"), "path", name_of_path("path").alias("name"), "length", "content"), config)
 
 

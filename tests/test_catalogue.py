@@ -154,7 +154,9 @@ def test_end_to_end(spark, books, tmp_path):
     assert stored["published_year"] == 1999 and stored["isbn_10"] is None
     flags = check(records).filter("book_id = 'mixed'").first()
     assert flags.ok_isbn_13 and flags.ok_indonesian_title and flags.ok_one_observation_per_image and flags.ok_two_images and flags.ok_roles
-    assert flags.ok_publishing_confidence is False and flags.ok_severity is False and flags.ok_blurb is None or flags.ok_blurb is False
+    assert flags.ok_publishing_confidence is False and flags.ok_severity is False
+    # The sentinel is a right answer, and no blurb.
+    assert flags.ok_blurb is True and flags.has_blurb is False
     assert flags.main_band == "high" and flags.publishing_band == "out_of_range" and flags.n_broken >= 2
     counts = record_counts(records).filter("book_id = 'mixed'").first()
     assert (counts.n_genres, counts.n_names, counts.n_authors, counts.has_cover, counts.has_colophon) == (1, 1, 1, True, False)
