@@ -36,7 +36,9 @@ TEMPLATE = (
 )
 #: A piece of a conversation is closed when it has so many characters or turns.
 PIECE_CHARS, PIECE_TURNS = 1 << 18, 512
-FORMATTED = "conv_id bigint, piece bigint, n_turns bigint, formatted string, loss array<struct<begin:bigint,end:bigint>>"
+#: Turns of one span of turn numbers; the spans of a conversation are formatted apart, so a conversation of any length is spread over tasks.
+SPAN_TURNS = 4096
+FORMATTED = "conv_id bigint, span bigint, piece bigint, n_turns bigint, formatted string, loss array<struct<begin:bigint,end:bigint>>"
 
 _CONTROL = re.compile("|".join(map(re.escape, sorted(CONTROL, key=len, reverse=True))))
 _ESCAPED = re.compile(r"\\([\\.])")
@@ -411,18 +413,21 @@ def compile_template(source: str) -> Callable[..., tuple[str, list[tuple[int, in
 
 
 def format_conversations(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
-    """Pieces of formatted conversations: conv_id, piece, n_turns, formatted and the spans of loss in it.
+    """Pieces of formatted conversations: conv_id, span, piece, n_turns, formatted and the spans of loss in it.
 
     Turns go by ``turn`` (null first), equal ones by role and text. Null text and
     null role count as empty; a null conv_id is a conversation of its own. Most
-    conversations are one piece; longer ones go on in further pieces, so a task
-    streams over its sorted turns and never holds a whole conversation. Other
-    columns are not read. An empty table has no pieces.
+    conversations are one piece. Longer ones go on in further pieces, so a task
+    streams over its sorted turns; and turns of each span of turn numbers are
+    formatted apart, so a conversation that holds a third of all rows is spread
+    over tasks. Its pieces in the order of (span, piece) are the conversation.
+    Repeated rows are turns of their own. Other columns are not read. An empty
+    table has no pieces.
     """
 
     def run(batches):
         render = compile_template(template)
-        state = {"conv": None, "piece": 0, "open": False}
+        state = {"conv": None, "span": None, "first": False, "piece": 0, "open": False}
         turns: list[dict] = []
         chars = 0
         rows: list[tuple] = []
@@ -430,25 +435,25 @@ def format_conversations(conversations: DataFrame, template: str = TEMPLATE) ->
         def close() -> None:
             nonlocal turns, chars
             if turns:
-                text, spans = render(first=state["piece"] == 0, messages=turns)
-                rows.append((state["conv"], state["piece"], len(turns), text, [{"begin": a, "end": b} for a, b in spans]))
+                text, spans = render(first=state["first"] and state["piece"] == 0, messages=turns)
+                rows.append((state["conv"], state["span"], state["piece"], len(turns), text, [{"begin": a, "end": b} for a, b in spans]))
                 state["piece"] += 1
                 turns, chars = [], 0
 
         def emit():
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["conv_id", "piece", "n_turns", "formatted", "loss"])
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["conv_id", "span", "piece", "n_turns", "formatted", "loss"])
             rows.clear()
             return batch
 
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                for conv, role, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                    if not state["open"] or conv != state["conv"]:
+                for conv, span, first, role, text in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
+                    if not state["open"] or (conv, span) != (state["conv"], state["span"]):
                         close()
-                        state.update(conv=conv, piece=0, open=True)
+                        state.update(conv=conv, span=span, first=first, piece=0, open=True)
                     elif chars >= PIECE_CHARS or len(turns) >= PIECE_TURNS:
                         close()
                     turns.append({"role": role, "text": text})
@@ -459,8 +464,13 @@ def format_conversations(conversations: DataFrame, template: str = TEMPLATE) ->
         yield emit()
 
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), empty("role"), empty("text"), F.col("turn").cast("long").alias("turn"))
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text").mapInArrow(run, FORMATTED)
+    # A null turn comes before all others.
+    span = F.coalesce(F.floor(F.col("turn").cast("long") / SPAN_TURNS), F.lit(-(2**62)).cast("long")).alias("span")
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), span, empty("role"), empty("text"), F.col("turn").cast("long").alias("turn"))
+    # Nearly all conversations begin at turn 0, so only the others are asked for where they begin.
+    begins = rows.groupBy("conv_id").agg(F.min("span").alias("begin")).filter("begin != 0").select(F.col("conv_id").alias("of"), "begin")
+    rows = rows.join(begins, F.col("conv_id").eqNullSafe(F.col("of")), "left").withColumn("first", F.col("span") == F.coalesce("begin", F.lit(0).cast("long")))
+    return rows.repartition("conv_id", "span").sortWithinPartitions("conv_id", "span", "turn", "role", "text").select("conv_id", "span", "first", "role", "text").mapInArrow(run, FORMATTED)
 
 
 def turns_of(piece: str) -> list[tuple[str, str]]:
@@ -484,7 +494,11 @@ def turns_of(piece: str) -> list[tuple[str, str]]:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of the conversations in formatted pieces: their turns, and the text under the loss mask."""
+    """Digests of the conversations in formatted pieces: their turns, and the text under the loss mask.
+
+    A digest runs over a conversation from its first turn to its last, so one task
+    reads all pieces of one conversation, a batch at a time.
+    """
 
     def run(batches):
         conv, is_open, rows = None, False, []
@@ -521,7 +535,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         close()
         yield emit()
 
-    rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "piece").select("conv_id", "formatted", "loss")
+    rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "span", "piece").select("conv_id", "formatted", "loss")
     return rows.mapInArrow(run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
 

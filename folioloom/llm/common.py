@@ -9,6 +9,7 @@ from __future__ import annotations
 import ctypes
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -38,28 +39,48 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-#: Paths of this process's staged tables, in the order of their making.
-_staged: list[str] = []
+class _Made(threading.local):
+    """Paths of the staged tables of a thread, in the order of their making: runs in other threads don't see them."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_made = _Made()
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    _staged.append(f"{shared_dir(spark)}/folioloom/{name}-{uuid.uuid4().hex}")
-    return _staged[-1]
+    _made.paths.append(f"{shared_dir(spark)}/folioloom/{name}-{uuid.uuid4().hex}")
+    return _made.paths[-1]
 
 
 def staged_since(mark: int = 0) -> list[str]:
     """Paths of tables staged after the first ``mark`` ones."""
-    return _staged[mark:]
+    return _made.paths[mark:]
+
+
+def read_roots(df: DataFrame) -> list[str]:
+    """The folders that ``df`` reads files from, as its plan names them; no file is listed."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = []
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            roots = leaf.relation().location().rootPaths()
+            found += [roots.apply(j).toString() for j in range(roots.size())]
+    return found
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_staged(docs: DataFrame, paths: list[str]) -> list[str]:
     """Delete staged tables of steps whose results have been written, but for those that ``docs`` reads; these are returned."""
-    spark, read = docs.sparkSession, docs.inputFiles()
-    kept = [path for path in paths if any(path.rpartition("/")[2] in f for f in read)]
-    for path in paths:
-        if path not in kept:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    read = {root.rpartition("/")[2] for root in read_roots(docs)}
+    kept = [path for path in paths if path.rpartition("/")[2] in read]
+    drop_paths(docs.sparkSession, [path for path in paths if path not in kept])
     return kept
 
 

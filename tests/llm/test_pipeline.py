@@ -88,3 +88,37 @@ def test_empty_tables(spark, small, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{small}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+CLASHING = ["row", "uid", "f", "id", "h", "size", "copies", "rate", "target", "source_size", "of", "maybe", "key", "n", "sig", "lang_pred", "score", "n_hit", "items", "clean", "part", "tokens", "TEXT2"]
+
+
+def test_clashing_columns_ties_and_empty_tables(spark, planted):
+    """Columns with the names that stages use inside come through unchanged; repeated rows and an empty table are no trouble."""
+    path, _ = planted
+    docs = spark.read.parquet(f"{path}/documents.parquet").filter("doc_id < 60 or doc_id > 900000")
+    wide = docs.unionAll(docs.filter("doc_id < 5")).withColumns({c: corpus_pipeline_column(i) for i, c in enumerate(CLASHING)})
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.stage(apply(spark, wide, path), f"clash-{name}")
+        assert out.columns == wide.columns
+        rows = [tuple(r) for r in out.collect()]
+        assert rows and not set(rows) - {tuple(r) for r in wide.collect()}
+        assert corpus_pipeline.stage(apply(spark, wide.limit(0), path), f"none-{name}").count() == 0
+    last = corpus_pipeline.tokenize(spark, wide, path)
+    assert last.count() == wide.count() and corpus_pipeline.tokenize(spark, wide.limit(0), path).count() == 0
+
+
+def corpus_pipeline_column(i):
+    from pyspark.sql import functions as F
+
+    return F.concat(F.lit(f"{i}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+
+
+def test_run_leaves_no_table_of_a_stage(spark, planted):
+    import os
+
+    path, _ = planted
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(f"{root}/folioloom"))
+    corpus_pipeline.run(spark, path).count()
+    assert not [n for n in set(os.listdir(f"{root}/folioloom")) - before if n.startswith("pipeline-") and not n.startswith("pipeline-tokens")]

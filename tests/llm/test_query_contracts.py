@@ -110,7 +110,7 @@ def test_chat_format_round_trip(spark, small):
     """Every turn of every conversation comes back from the formatted pieces, whole and in order."""
     out = chat_format.format_conversations(spark.read.parquet(f"{small}/conversations.parquet")).collect()
     pieces = {}
-    for r in sorted(out, key=lambda r: r.piece):
+    for r in sorted(out, key=lambda r: (r.span, r.piece)):
         pieces.setdefault(r.conv_id, []).extend(chat_format.turns_of(r.formatted))
     want = {}
     for r in sorted(table(small, "conversations"), key=lambda r: r["turn"]):
@@ -118,6 +118,18 @@ def test_chat_format_round_trip(spark, small):
     assert pieces == want
 
 
+@pytest.mark.parametrize("span", [1, 3])
+def test_spans_of_turns_do_not_change_a_conversation(spark, small, monkeypatch, span):
+    rows = [(1, t, "user" if t % 2 else "assistant", f"text {t}") for t in (*range(9), 7, 7)] + [(2, None, "user", "first"), (2, -5, "assistant", "second"), (None, 4, "user", "x"), (None, 90, "assistant", "y")]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").unionByName(spark.read.parquet(f"{small}/conversations.parquet"))
+    key = lambda f: sorted(repr(tuple(r)) for r in f.collect())
+    whole = key(chat_format.read_back(chat_format.format_conversations(given)))
+    monkeypatch.setattr(chat_format, "SPAN_TURNS", span)
+    pieces = chat_format.format_conversations(given)
+    assert key(chat_format.read_back(pieces)) == whole
+    assert all(sum(r.formatted.startswith("<s>") for r in pieces.collect() if r.conv_id == c) == 1 for c in (1, 2, None))
+
+
 def test_every_source_comes_near_its_target(spark):
     """Sources of 50 documents that differ by a factor of 20, as far as whole documents allow."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
