@@ -93,14 +93,14 @@ def source_cuts(sized: DataFrame, targets: DataFrame, most: int = MOST, seed: st
     cuts = stage(targets.withColumn("rate", rate).withColumn("frac", F.col("rate") - F.floor("rate")).withColumn("due", F.lit(0.0)), "op6-rates")
     drawn = cuts.filter("frac > 0").select(F.col("source").alias("of"), "source_size")
     docs = sized.filter("size > 0").join(drawn, F.col("source").eqNullSafe(F.col("of"))).select("source", "h", "size", tier().alias("tier"))
-    # Of the first tiers a source has fewer than 256 rows; of the last one the words below each first part of the hash are summed before the rows of one such part are sorted.
+    # One pass: of the first tiers a source has fewer than 256 rows; of the last one the words are summed by the first part of the hash, before the rows of one such part are sorted.
+    first = F.shiftright("h", HASH_BITS - FIRST_BITS)
+    held = stage(docs.groupBy("source", "tier", F.when(F.col("tier") < len(TIERS), F.col("h")).otherwise(first).alias("h")).agg(F.sum("size").alias("s")), "op6-sums")
     for n in range(len(TIERS)):
-        own = docs.filter(F.col("tier") == n).groupBy("source", "h").agg(F.sum("size").alias("s"))
-        cuts = _cut(cuts, own.withColumn("base", F.lit(0).cast("long")), n, seed)
+        cuts = _cut(cuts, held.filter(F.col("tier") == n).select("source", "h", "s", F.lit(0).cast("long").alias("base")), n, seed)
     last = docs.filter(F.col("tier") == len(TIERS))
-    first = F.shiftright("h", HASH_BITS - FIRST_BITS)
     of_source = W.partitionBy("source")
-    sums = last.groupBy("source", first.alias("b")).agg(F.sum("size").alias("s")).withColumn("through", F.sum("s").over(of_source.orderBy("b"))).withColumn("all", F.sum("s").over(of_source))
+    sums = held.filter(F.col("tier") == len(TIERS)).select("source", F.col("h").alias("b"), "s").withColumn("through", F.sum("s").over(of_source.orderBy("b"))).withColumn("all", F.sum("s").over(of_source))
     want = cuts.select(F.col("source").alias("of"), "frac", "due")
     sums = sums.join(want, F.col("source").eqNullSafe(F.col("of"))).withColumn("wanted", F.col("due") + F.col("frac") * F.col("all").cast("double")).filter("wanted > 0")
     crossed = sums.filter(F.col("through").cast("double") >= F.col("wanted")).groupBy("of").agg(F.min("b").alias("cross"), (F.min_by("through", "b") - F.min_by("s", "b")).alias("base"), F.first("wanted").alias("wanted"))
@@ -139,7 +139,6 @@ def _cut(cuts: DataFrame, rows: DataFrame, n: int, seed: str) -> DataFrame:
     whole = F.lit(1 << HASH_BITS).cast("long")
     taken_all = F.col("cut").isNull() & (F.col("wanted") > F.col("all"))
     per = per.select("of", F.when(taken_all, whole).otherwise(F.coalesce("cut", F.lit(0).cast("long"))).alias(f"cut_{n}"), (F.col("wanted") - F.when(taken_all, F.col("all")).otherwise(F.coalesce("taken", F.lit(0.0)))).alias("left_over"))
-    per = stage(per, f"op6-tier-{n}")
     out = cuts.join(per, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     return stage(out.withColumn("due", F.coalesce("left_over", "due")).withColumn(f"cut_{n}", F.coalesce(f"cut_{n}", F.lit(0).cast("long"))).drop("left_over"), f"op6-cuts-{n}")
 
