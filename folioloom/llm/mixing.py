@@ -90,7 +90,7 @@ def tier() -> Column:
 def source_cuts(sized: DataFrame, targets: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
     """``targets`` with rate and the cuts of the tiers: a document gets one copy more where its hash is below the cut of its tier."""
     rate = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size").cast("double"))).otherwise(F.lit(0.0))
-    cuts = stage(targets.withColumn("rate", rate).withColumn("frac", F.col("rate") - F.floor("rate")).withColumn("due", F.lit(0.0)), "op6-rates")
+    cuts = targets.withColumn("rate", rate).withColumn("frac", F.col("rate") - F.floor("rate")).withColumn("due", F.lit(0.0))
     drawn = cuts.filter("frac > 0").select(F.col("source").alias("of"), "source_size")
     docs = sized.filter("size > 0").join(drawn, F.col("source").eqNullSafe(F.col("of"))).select("source", "h", "size", tier().alias("tier"))
     # One pass: of the first tiers a source has fewer than 256 rows; of the last one the words are summed by the first part of the hash, before the rows of one such part are sorted.
@@ -104,13 +104,12 @@ def source_cuts(sized: DataFrame, targets: DataFrame, most: int = MOST, seed: st
     want = cuts.select(F.col("source").alias("of"), "frac", "due")
     sums = sums.join(want, F.col("source").eqNullSafe(F.col("of"))).withColumn("wanted", F.col("due") + F.col("frac") * F.col("all").cast("double")).filter("wanted > 0")
     crossed = sums.filter(F.col("through").cast("double") >= F.col("wanted")).groupBy("of").agg(F.min("b").alias("cross"), (F.min_by("through", "b") - F.min_by("s", "b")).alias("base"), F.first("wanted").alias("wanted"))
-    crossed = stage(crossed, "op6-crossed")
     near = last.withColumn("b", first).join(crossed, F.col("source").eqNullSafe(F.col("of")) & (F.col("b") == F.col("cross")))
     edge = _nearest(near.groupBy("source", "h").agg(F.sum("size").alias("s"), F.first("base").alias("base"), F.first("wanted").alias("wanted")))
     # Where more is due than the last tier has, all of it is taken.
     none, end = F.lit(0).cast("long"), F.lit(1 << HASH_BITS).cast("long")
     all_taken = sums.filter("through = all and through < wanted").groupBy("of").agg(end.alias("whole"))
-    out = cuts.join(stage(edge.select(F.col("source").alias("edge_of"), "cut"), "op6-edges"), F.col("source").eqNullSafe(F.col("edge_of")), "left").join(all_taken, F.col("source").eqNullSafe(F.col("of")), "left")
+    out = cuts.join(edge.select(F.col("source").alias("edge_of"), "cut"), F.col("source").eqNullSafe(F.col("edge_of")), "left").join(all_taken, F.col("source").eqNullSafe(F.col("of")), "left")
     return out.select("source", "source_size", "target", "rate", "cut_0", "cut_1", F.coalesce("cut", "whole", none).alias("cut_2"))
 
 
