@@ -32,6 +32,8 @@ from folioloom.llm.common import bit_table, read_table, stage
 SHINGLE, SHARE, BANDS = 5, 0.8, 64
 #: Flags of a table: some 64 times the number of keys, from 2 ** 17 to 2 ** 22, a bit each, as the plan holds them; a key sets PROBES of them.
 LEAST_FLAGS, MOST_FLAGS, PROBES = 1 << 17, 1 << 22, 3
+#: Up to so many shingles of templates, a document is first asked for any of them at once; that is quicker and tells the same.
+FEW_SHINGLES = 4096
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
 #: Notices and grants of common licenses, by SPDX identifier.
@@ -136,14 +138,16 @@ class Flags:
 
     def __init__(self, keys: DataFrame, h: Column):
         self.size = min(MOST_FLAGS, max(LEAST_FLAGS, 1 << (64 * keys.count()).bit_length()))
-        self.bits = F.lit(bytearray(bit_table(keys.select(F.explode(F.array(*_probes(h))).alias("p")), F.col("p"), self.size).tobytes()))
+        words = bit_table(keys.select(F.explode(F.array(*_probes(h))).alias("p")), F.col("p"), self.size).view("<i8")
+        # One literal of text; the optimizer folds it to an array of 64-bit words.
+        self.words = F.from_json(F.lit("[" + ",".join(map(str, words.tolist())) + "]"), "array<bigint>")
 
     def holds(self, h: Column) -> Column:
         return reduce(Column.__and__, [self._set(p.bitwiseAND(F.lit(self.size - 1).cast("long"))) for p in _probes(h)])
 
     def _set(self, place: Column) -> Column:
-        byte = F.ascii(F.decode(F.substring(self.bits, (F.shiftright(place, 3) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
-        return F.getbit(byte, place.bitwiseAND(F.lit(7).cast("long")).cast("int")) == 1
+        word = F.get(self.words, F.shiftright(place, 6).cast("int"))
+        return F.getbit(word, place.bitwiseAND(F.lit(63).cast("long")).cast("int")) == F.lit(1).cast("byte")
 
 
 def band_key(span: Column, band: Column, value: Column) -> Column:
@@ -207,15 +211,21 @@ def license_scan(docs: DataFrame, templates=TEMPLATES + MORE_TEMPLATES, share: f
     spans = sorted(r[0] for r in table.select("span").distinct().collect())  # powers of two, so some 20 at most
     bands = stage(table.select("span", "template", F.posexplode("hashes").alias("band", "value")), "op10-bands")
     # Equal hashes of different shingles only cost a window more to look at.
-    known = Flags(table.select(F.explode("shingles").alias("s")).distinct(), F.xxhash64(*[F.get(F.split("s", " "), F.lit(j)) for j in range(SHINGLE)]))
+    shingles = table.select(F.explode("shingles").alias("s")).distinct()
+    shingle_hash = F.xxhash64(*[F.get(F.split("s", " "), F.lit(j)) for j in range(SHINGLE)])
+    known = Flags(shingles, shingle_hash)
     posted = Flags(bands, band_key(F.col("span"), F.col("band"), F.col("value")))
     w = F.col("words")
     last = F.size(w) - SHINGLE
     # Exploding a one-element array keeps the optimizer from putting the expression into each of its uses.
     once = lambda c: F.explode(F.array(c))
     worded = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", once(words_of(F.col("text"))).alias("words")).filter(F.size("words") >= SHINGLE)
-    places = F.filter(F.sequence(F.lit(0), last), lambda i: known.holds(F.xxhash64(*[F.get(w, i + j) for j in range(SHINGLE)])))
-    hit = worded.select("uid", "doc_id", "words", once(places).alias("seen")).filter(F.size("seen") > 0)
+    hashed = worded.select("uid", "doc_id", "words", once(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(SHINGLE)]))).alias("hashes"))
+    few = [r.h for r in shingles.select(shingle_hash.alias("h")).limit(FEW_SHINGLES + 1).collect()]
+    if len(few) <= FEW_SHINGLES:
+        hashed = hashed.filter(F.arrays_overlap("hashes", F.from_json(F.lit(f"[{','.join(map(str, few))}]"), "array<bigint>")))
+    places = F.filter(F.sequence(F.lit(0), last), lambda i: known.holds(F.get("hashes", i)))
+    hit = hashed.select("uid", "doc_id", "words", once(places).alias("seen")).filter(F.size("seen") > 0)
     windows = F.flatten(F.array(*[_windows_of(s) for s in spans]))
     cut = F.transform(
         F.filter(windows, lambda x: x["at"] >= 0),

@@ -56,7 +56,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     """
     per = ranked(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), F.col("source").asc_nulls_last(), "op6-sources")
     weight = F.element_at(F.array(*[F.lit(w).cast("long") for w in weights]), (F.col("rank") % len(weights)).cast("int") + 1)
-    per = stage(per.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * most).alias("cap")), "op6-weights")
+    per = per.select("source", "source_size", weight.alias("weight"), (F.col("source_size") * most).alias("cap"))
     total, all_weight = per.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
     stopped, level = (0, 0), 0.0
     while all_weight > stopped[1]:
