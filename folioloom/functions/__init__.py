@@ -2,7 +2,6 @@
 
 from folioloom.functions.columns import (
     ascii_safe,
-    bare_url,
     base64_unbroken,
     book_of_path,
     condition_of,
@@ -21,7 +20,6 @@ from folioloom.functions.columns import (
 
 __all__ = [
     "ascii_safe",
-    "bare_url",
     "base64_unbroken",
     "book_of_path",
     "condition_of",

@@ -16,19 +16,19 @@ def _c(x: Column | str) -> Column:
 # -- paths
 
 
-def bare_url(url: Column | str) -> Column:
-    """A URL without query and fragment; file names may hold the marks of both, so paths of files are taken as they are."""
-    return F.regexp_replace(_c(url), r"[?#].*$", "")
+def bare_path(path: Column | str) -> Column:
+    """A web address without query and fragment. Names of files may hold the marks of both, so other paths are taken as they are."""
+    return F.regexp_replace(_c(path), r"(?s)^(https?://[^?#]*)[?#].*$", "$1")
 
 
 def name_of_path(path: Column | str) -> Column:
     """Last component of a path; null for null."""
-    return F.element_at(F.split(_c(path), "/"), -1)
+    return F.element_at(F.split(bare_path(path), "/"), -1)
 
 
 def book_of_path(path: Column | str) -> Column:
     """Name of the folder that directly holds the file; null where there is none."""
-    return F.try_element_at(F.split(_c(path), "/"), F.lit(-2))
+    return F.try_element_at(F.split(bare_path(path), "/"), F.lit(-2))
 
 
 def extension_of(name: Column | str) -> Column:

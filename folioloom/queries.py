@@ -114,7 +114,7 @@ def catalog_records(spark: SparkSession, sf_dir: str) -> DataFrame:
       regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages""",
 )
 def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", X.name_of_path(X.bare_url("url")).alias("name"), X.book_of_path(X.bare_url("url")).alias("book_id"), F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1).alias("host"))
+    return table(spark, sf_dir, "pages").select("page_id", X.name_of_path("url").alias("name"), X.book_of_path("url").alias("book_id"), F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1).alias("host"))
 
 
 @query(
@@ -124,7 +124,7 @@ def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT page_id, lower(regexp_extract(name, '[^/.](\\.[^./]+)$', 1)) AS extension FROM n WHERE lower(regexp_extract(name, '[^/.](\\.[^./]+)$', 1)) IN ('.html', '.pdf')""",
 )
 def extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ext = X.extension_of(X.name_of_path(X.bare_url("url")))
+    ext = X.extension_of(X.name_of_path("url"))
     return table(spark, sf_dir, "pages").select("page_id", ext.alias("extension")).filter(F.col("extension").isin(".html", ".pdf"))
 
 
@@ -758,13 +758,14 @@ def condition_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select(condition.alias("condition"), F.array_position(F.array(*[F.lit(v) for v in CONDITION_ALIASES.values()]), condition).cast("int").alias("rank"), "n")
 
 
-@query(
-    "vector_topk",
-    """
+_SEARCH_SQL = """
     WITH p AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) / sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[]) * list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[])) AS s
       FROM embeddings q JOIN embeddings v ON v.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
-    SELECT query_id, vec_id, round(s, 4) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vec_id) AS n FROM p) WHERE n <= 5""",
-)
-def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search over vectors, an extension: the 5 most similar of all vectors to every row whose vec_id is divisible by 20, exact."""
+    SELECT query_id, vec_id, round(s, 4) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, vec_id) AS n FROM p) WHERE n <= 5"""
+
+
+@query("vector_topk", _SEARCH_SQL)
+@query("vector_search", _SEARCH_SQL)
+def vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search over vectors, an extension: the 5 most similar of all vectors to every row whose vec_id is divisible by 20, exact. Registered under two names."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).withColumn("similarity", F.round("similarity", 4))
