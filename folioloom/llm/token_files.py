@@ -79,8 +79,9 @@ class PieceEncoder:
         self.width = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
         for piece, i in self.tokenizer.get_vocab().items():
             self.width[i] = len(piece)  # a character of a byte-level piece stands for a byte
-        self.ids: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        #: Kept pieces, how many ids each has, these ids in a row, and whether a piece is of the newest set.
+        self.pieces = pa.array([], pa.large_binary())
+        self.counts, self.ids, self.newest = np.zeros(0, np.int64), np.zeros(0, "<u4"), np.zeros(0, bool)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, ``end_id`` behind each, and how many each has. Null counts as empty."""
@@ -93,31 +94,12 @@ class PieceEncoder:
         body, offsets = utf8_buffer(texts)
         begins = self._cuts(body, offsets)
         pieces = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(np.append(begins, len(body)).astype(np.int64)), pa.py_buffer(body)]).dictionary_encode()
-        at = np.frombuffer(pieces.dictionary.buffers()[1], np.int64, len(pieces.dictionary) + 1).tolist()
-        data = pieces.dictionary.buffers()[2].to_pybytes() if at[-1] else b""
-        unique = [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        known = self.ids
-        if len(known) > CACHE_PIECES:
-            self.ids, self.older = {}, known
-            known = self.ids
-        held = list(map(known.get, unique))
-        missing = [p for p, x in zip(unique, held, strict=True) if x is None]
-        if missing and self.older:
-            known.update((p, x) for p, x in zip(missing, map(self.older.get, missing), strict=True) if x is not None)
-            missing = [p for p in missing if p not in known]
-        if missing:
-            self._learn(missing)
-        if None in held:
-            held = [known[p] if x is None else x for p, x in zip(unique, held, strict=True)]
-        for p in missing:
-            if len(p) > CACHE_PIECE:
-                del known[p]
+        known, table, lengths = self._look_up(pieces.dictionary)
         # The end id is one piece more, behind the last piece of each text.
-        table = np.frombuffer(b"".join(held) + np.uint32(end_id).tobytes(), "<u4")
-        lengths = np.array([len(x) // 4 for x in held] + [1], np.int64)
+        table, lengths = np.append(table, np.uint32(end_id)), np.append(lengths, 1)
         starts = np.cumsum(lengths) - lengths
         last = np.searchsorted(begins, offsets[1:])
-        which = np.insert(np.asarray(pieces.indices).astype(np.int64), last, len(unique))
+        which = np.insert(known[np.asarray(pieces.indices)], last, len(lengths) - 1)
         n = lengths[which]
         ends = np.cumsum(n)
         place = np.repeat((starts[which] - ends + n).astype(np.int32), n)
@@ -130,36 +112,68 @@ class PieceEncoder:
         marks = np.flatnonzero(_MARK[body[1:]] & _ALNUM[body[:-1]]) + 1
         at = np.flatnonzero((body == 32) | (body == 10))
         at = at[at > 2]
-        a, b, c = body[at - 1], body[at - 2], body[at - 3]
-        # White space beyond ASCII: U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
-        after = _SPACE[a] | ((b == 0xC2) & ((a == 0x85) | (a == 0xA0)))
-        after |= (c == 0xE2) & (b == 0x80) & (((a >= 0x80) & (a <= 0x8A)) | (a == 0xA8) | (a == 0xA9) | (a == 0xAF))
-        after |= ((c == 0xE2) & (b == 0x81) & (a == 0x9F)) | ((b == 0x80) & (a == 0x80) & (c == 0xE3)) | ((c == 0xE1) & (b == 0x9A) & (a == 0x80))
-        out = np.sort(np.concatenate([at[~after], marks, offsets[:-1][np.diff(offsets) > 0]]))
+        out = np.sort(np.concatenate([at[~_behind_space(body, at)], marks, offsets[:-1][np.diff(offsets) > 0]]))
         return out[np.concatenate([[True], out[1:] != out[:-1]])] if len(out) else out
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, missing: list[bytes]) -> None:
-        """Encode pieces that aren't known, and put them among the known ones."""
-        known = self.ids
+    def _look_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of distinct pieces: the place of each in a table of pieces, the ids of that table in a row, and how many each has."""
+        if np.count_nonzero(self.newest) > CACHE_PIECES:
+            self.pieces, self.ids = self.pieces.filter(pa.array(self.newest)), self.ids[np.repeat(self.newest, self.counts)]
+            self.counts = self.counts[self.newest]
+            self.newest = np.zeros(len(self.counts), bool)
+        # The pieces of this batch are hashed, and the kept ones looked up among them.
+        found = pa.compute.index_in(self.pieces, value_set=pieces)
+        kept = np.flatnonzero(np.asarray(found.is_valid()))
+        place = np.full(len(pieces), -1, np.int64)
+        place[np.asarray(found.drop_null())] = kept
+        self.newest[kept] = True
+        missing = np.flatnonzero(place < 0)
+        if not len(missing):
+            return place, self.ids, self.counts
+        row, new, ids, counts = self._learn(pieces.take(pa.array(missing)))
+        place[np.concatenate([missing[row], missing[~row]])] = len(self.counts) + np.arange(len(missing))
+        table, lengths = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
+        short = np.asarray(pa.compute.binary_length(new)) <= CACHE_PIECE
+        self.pieces = pa.concat_arrays([self.pieces, new.filter(pa.array(short))])
+        self.ids, self.counts = np.concatenate([self.ids, ids[np.repeat(short, counts)]]), np.concatenate([self.counts, counts[short]])
+        self.newest = np.concatenate([self.newest, short[short]])
+        return place, table, lengths
+
+    def _learn(self, pieces: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        """Encode distinct pieces: which of them stood in a row, those and then the others, the ids of all, and how many each has."""
+        body, offsets = _bytes(pieces)
+        first = body[offsets[:-1]]
         # Pieces that begin with white space and end without may stand in a row; the widths of the ids tell where each ends.
-        row = [p for p in missing if (p[0] == 32 or p[0] == 10) and (32 < p[-1] < 127 or not _ends_in(p, str.isspace))]
-        if len(row) < len(missing):
-            alone = list(set(missing).difference(row))
-            known.update(zip(alone, self._whole([p.decode() for p in alone]), strict=True))
-        for at in range(0, len(row), 4_000):
-            part = row[at : at + 4_000]
-            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
-            stops = (4 * (1 + np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(list(map(len, part)))))).tolist()
-            data = ids.tobytes()
-            known.update(zip(part, map(data.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
-
-
-def _ends_in(piece: bytes, kind) -> bool:
-    """Whether the last character of a piece is of a kind."""
-    return kind(chr(piece[-1]) if piece[-1] < 128 else piece[-4:].decode("utf-8", "ignore")[-1])
+        row = ((first == 32) | (first == 10)) & ~_behind_space(body, offsets[1:])
+        stood, others = pieces.filter(pa.array(row)), pieces.filter(pa.array(~row))
+        parts, counts = [], []
+        body, offsets = _bytes(stood)
+        for at in range(0, len(stood), 4_000):
+            ends = offsets[at : at + 4_001]
+            ids = np.array(self.tokenizer.encode_batch_fast([body[ends[0] : ends[-1]].tobytes().decode()], add_special_tokens=False)[0].ids, "<u4")
+            parts.append(ids)
+            counts.append(np.diff(1 + np.searchsorted(np.cumsum(self.width[ids]), ends[1:] - ends[0]), prepend=0))
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in others.to_pylist()], add_special_tokens=False)]
+        parts += [np.array(x, "<u4") for x in alone]
+        counts.append(np.array(list(map(len, alone)), np.int64))
+        return row, pa.concat_arrays([stood, others]), np.concatenate(parts), np.concatenate(counts)
+
+
+def _bytes(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of pieces in a row, and the offsets of each."""
+    offsets = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, 8 * pieces.offset) if len(pieces) else np.zeros(1, np.int64)
+    data = pieces.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8))[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _behind_space(body: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether white space lies before each place of UTF-8 bytes."""
+    a, b, c = body[at - 1], body[np.maximum(at - 2, 0)], body[np.maximum(at - 3, 0)]
+    # White space beyond ASCII: U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+    after = _SPACE[a] | ((b == 0xC2) & ((a == 0x85) | (a == 0xA0)))
+    after |= (c == 0xE2) & (b == 0x80) & (((a >= 0x80) & (a <= 0x8A)) | (a == 0xA8) | (a == 0xA9) | (a == 0xAF))
+    after |= ((c == 0xE2) & (b == 0x81) & (a == 0x9F)) | ((b == 0x80) & (a == 0x80) & (c == 0xE3)) | ((c == 0xE1) & (b == 0x9A) & (a == 0x80))
+    return after
 
 
 def encoder(path: str) -> PieceEncoder:

@@ -74,6 +74,29 @@ def test_cache_begins_anew(monkeypatch):
             assert ids.tolist() == enc.tokenizer.encode(t).ids + [2]
 
 
+def test_kept_pieces_are_arrays(monkeypatch):
+    import sys
+
+    import folioloom.llm.token_files as T
+
+    enc = PieceEncoder(default_tokenizer())
+    text = "".join(f" w{i:x} é{i}　\n{i}." for i in range(30_000)) + "x" * 100 + "\x85"
+    want = enc.tokenizer.encode(text).ids + [2]
+    enc.encode(pa.array(["warm up"]), 2)
+    before = sys.getallocatedblocks()
+    for _ in range(2):
+        ids, counts = enc.encode(pa.array([text, ""]), 2)
+        assert ids.tolist() == [*want, 2] and counts.tolist() == [len(want), 1]
+    del ids, counts
+    assert sys.getallocatedblocks() - before < 5_000  # no Python objects for each of some 90,000 pieces
+    # Pieces that aren't met in a whole set go, and all are still right.
+    monkeypatch.setattr(T, "CACHE_PIECES", 50)
+    for i in range(0, 1_000, 20):
+        part = "".join(f" q{j} same" for j in range(i, i + 20)) + "　"
+        assert enc.encode(pa.array([part]), 2)[0].tolist() == enc.tokenizer.encode(part).ids + [2]
+    assert len(enc.pieces) == len(enc.counts) == len(enc.newest) < 150 and b" same" in enc.pieces.to_pylist()
+
+
 def greedy(word: bytes, begins: set, goes_on: set) -> int:
     word, at, n = b" " + word, 0, 0
     while at < len(word):
