@@ -246,8 +246,7 @@ def saved_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     save_images(images, out)
     save_images(images, out)
     below = load_root(spark, out).select("book_id", "idx", "name", "length", F.md5("content").alias("digest"))
-    folders = [f"{out}/{r.book_id}" for r in images.select("book_id").distinct().collect()]  # a listing by folders takes them from the driver
-    listed, _ = list_folders(spark, folders)
+    listed, _ = list_folders(spark, images.select(F.concat(F.lit(f"{out}/"), "book_id").alias("folder")).distinct())
     one_by_one = load_contents(spark, select_sources(listed)).select("book_id", "idx", F.md5("content").alias("again"))
     return below.join(one_by_one, ["book_id", "idx"], "full").withColumn("same", F.col("digest") == F.col("again")).drop("again")
 
@@ -266,7 +265,7 @@ def folder_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     images = books.filter("conv_id % 4 <> 0").select("book_id", F.lit(0).alias("idx"), F.lit(b"x").alias("data"))
     save_images(images, out, books=books.select("book_id"))
     place = F.concat("book_id", F.when(F.col("conv_id") % 4 == 1, "/gone").when(F.col("conv_id") % 4 == 2, F.concat(F.lit("/"), X.image_file_name("book_id", F.lit(1)))).otherwise(""))
-    _, rejects = list_folders(spark, [f"{out}/{r.p}" for r in books.select(place.alias("p")).collect()])
+    _, rejects = list_folders(spark, books.select(F.concat(F.lit(f"{out}/"), place).alias("folder")))
     return rejects.select("book_id", "reason")
 
 

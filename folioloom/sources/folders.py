@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from folioloom.functions import book_of_path, extension_of, name_of_path
 from folioloom.plans.providers import HttpProvider
 from folioloom.plans.schemas import IMAGE_EXTENSIONS, PDF_EXTENSIONS
+from folioloom.sources.stores import addresses, all_open, can_open, folders_below, listed, with_content
 
 LISTING = "book_id string, path string, name string, length bigint"
 REJECTS = "book_id string, folder string, reason string"
@@ -73,14 +76,33 @@ class Settings:
         return HttpProvider(self.extra["url"], self.extra["model"], self.api_key)
 
 
-def list_folders(spark: SparkSession, folders: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Files directly in each folder, and the folders that can't be used with the reason.
+def list_folders(spark: SparkSession, folders: list[str] | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files directly in each folder, and the folders that can't be used with the reason. ``folders`` is a list, or a table of one column.
 
-    Through Hadoop's file system, so any store works; files of 0 bytes are listed,
-    which ``binaryFile`` leaves out. The driver lists one folder after the other:
-    for very many books use ``scan_root``. Names are taken as they are: no mark in
-    them is a pattern.
+    Executors list the folders, and the listing is kept in the folder that they
+    share, so both results are of one look. Files of 0 bytes are listed, which
+    ``binaryFile`` leaves out. Names are taken as they are: no mark in them is a
+    pattern. Only a store that pyarrow can't open is listed by the driver, through
+    Hadoop's file system and one folder after the other.
     """
+    given = folders if isinstance(folders, DataFrame) else spark.createDataFrame([(f,) for f in folders], "folder string")
+    if not all_open(spark, given):
+        return _listed_by_driver(spark, [r[0] for r in given.collect()])
+    rows = _kept(spark, listed(given))
+    return rows.filter("reason is null").select("book_id", "path", "name", "length"), rows.filter("reason is not null").select("book_id", "folder", "reason")
+
+
+def _kept(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows as they are now, in ``spark.checkpoint.dir``; without one, kept on the executors' disks at their first use."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        return rows.persist(StorageLevel.DISK_ONLY)
+    path = f"{shared.rstrip('/')}/folioloom/listing-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _listed_by_driver(spark: SparkSession, folders: list[str]) -> tuple[DataFrame, DataFrame]:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     files, rejects = [], []
     for folder in folders:
@@ -112,9 +134,21 @@ def in_book_of(path: str, root: str) -> Column:
 
 
 def scan_root(spark: SparkSession, root: str) -> DataFrame:
-    """Files directly in each folder below ``root``, as a distributed listing; contents aren't opened. Empty files are left out."""
-    listed = spark.read.format("binaryFile").load(f"{literal_glob(root.rstrip('/'))}/*").select("path", "length").filter(in_book_of("path", root))
-    return listed.select(book_of_path("path").alias("book_id"), "path", name_of_path("path").alias("name"), "length")
+    """Files directly in each folder below ``root``, listed by the executors; contents aren't opened. Empty and hidden files are left out, as Spark's readers leave them out."""
+    if not can_open(addresses(spark)(root)):
+        found = spark.read.format("binaryFile").load(f"{literal_glob(root.rstrip('/'))}/*").select("path", "length").filter(in_book_of("path", root))
+        return found.select(book_of_path("path").alias("book_id"), "path", name_of_path("path").alias("name"), "length")
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not top.getFileSystem(spark._jsc.hadoopConfiguration()).exists(top):
+        raise FileNotFoundError(root)
+    seen = (F.col("length") > 0) & ~F.col("name").rlike(r"^\.|^_(?!.*=)")
+    return listed(folders_below(spark, root)).filter(seen).select("book_id", "path", "name", "length")
+
+
+def load_files(spark: SparkSession, root: str) -> DataFrame:
+    """``scan_root`` with the column content."""
+    files = scan_root(spark, root)
+    return with_content(files) if can_open(addresses(spark)(root)) else load_contents(spark, files)
 
 
 def supported_files(files: DataFrame, config: SourceConfig = SourceConfig()) -> DataFrame:
@@ -150,12 +184,13 @@ def unsupported_books(files: DataFrame, config: SourceConfig = SourceConfig()) -
 
 
 def load_contents(spark: SparkSession, sources: DataFrame) -> DataFrame:
-    """``sources`` with the column content. Only the listed files are opened: paths go to the scan, not to a filter above it."""
-    paths = [r.path for r in sources.select("path").distinct().collect()]  # the scan takes its paths from the driver
-    if not paths:
-        return sources.withColumn("content", F.lit(None).cast("binary"))
+    """``sources`` with the column content, null for an empty file. Executors open the listed files and no others."""
+    rows = sources.select("path", *[c for c in sources.columns if c != "path"])
+    if all_open(spark, rows.select("path")):
+        return with_content(rows)
+    paths = [r.path for r in sources.select("path").distinct().collect()]  # Spark's scan takes its paths from the driver
     read = spark.read.format("binaryFile").load([literal_glob(p) for p in paths]).select("path", "content")
-    return sources.join(read, "path", "left")
+    return rows.join(read, "path", "left")
 
 
 def any_case_glob(extensions: tuple[str, ...]) -> str:
@@ -167,10 +202,12 @@ def any_case_glob(extensions: tuple[str, ...]) -> str:
 def load_root(spark: SparkSession, root: str, config: SourceConfig = SourceConfig()) -> DataFrame:
     """The sources of all books below ``root`` with content, without a list of paths on the driver.
 
-    The suffix filter goes into the listing, so files of other kinds are never
-    opened; contents meet the chosen sources in a join on the path. Empty files
-    are left out, as ``binaryFile`` leaves them out.
+    Files of other kinds are never opened. Empty files are left out, as
+    ``binaryFile`` leaves them out. A store that pyarrow can't open is read by
+    Spark, whose listing lies on the driver.
     """
     sources = select_sources(scan_root(spark, root), config)
+    if can_open(addresses(spark)(root)):
+        return with_content(sources.select("path", *[c for c in sources.columns if c != "path"]))
     read = spark.read.format("binaryFile").option("pathGlobFilter", any_case_glob(config.supported)).load(f"{literal_glob(root.rstrip('/'))}/*")
     return sources.join(read.select("path", "content"), "path")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from folioloom.functions import image_file_name
 from folioloom.plans.schemas import CATALOGUE
+from folioloom.sources.stores import spread
 
 #: Buckets of the catalogue; each holds the books of one hash, and an upsert rewrites only the buckets it touches.
 BUCKETS = 64
@@ -83,7 +84,7 @@ def _write_files(files: DataFrame, out: str, replace_books: bool) -> None:
             store.move(part, f"{folder}/{row.file_name}")
 
     # All files of a book are one task's, so that replacing its folder can't lose another task's files.
-    files.repartition("book_id").foreachPartition(put)
+    spread(files, "book_id", least=int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))).foreachPartition(put)
 
 
 def _store(spark: SparkSession, path: str):
