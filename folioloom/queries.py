@@ -31,7 +31,7 @@ from folioloom.plans.prompts import TASKS, WITH_NOTES, describe_type, image_line
 from folioloom.plans.providers import CONSTANT, EXPONENTIAL, FirstOf, Registry, Retrying, StubProvider
 from folioloom.plans.schemas import ANALYSES, CATALOGUE, CONDITION_ALIASES
 from folioloom.plans.standins import FailingFirst, Member, Named, answer_of_request
-from folioloom.sources.folders import book_types, list_folders, load_contents, load_root, select_sources, unsupported_books
+from folioloom.sources.folders import book_types, list_folders, load_contents, load_files, load_root, select_sources, unsupported_books
 from folioloom.sources.sinks import image_files, json_files, latest_per_key, read_catalogue, save_images, save_json, write_catalogue, written_twice
 
 QUERIES: dict = {}
@@ -279,7 +279,7 @@ def saved_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _scratch(spark, "json")
     d = table(spark, sf_dir, "documents")
     save_json(_analysis(d, F.col("doc_id"), _record(ANALYSES["raw_analysis"], coverPageDescription=F.col("lang"), backCoverDescription=F.col("source"))), "raw_analysis", out)
-    files = spark.read.format("binaryFile").load(f"{out}/*")
+    files = load_files(spark, out)
     body = F.decode("content", "utf-8")
     return files.select(X.book_of_path("path").alias("book_id"), X.name_of_path("path").alias("name"), F.get_json_object(body, "$.coverPageDescription").alias("cover"), F.get_json_object(body, "$.backCoverDescription").alias("back"), body.rlike('"otherPageDescriptions" *: *null').alias("has_null"))
 

@@ -22,7 +22,7 @@ def test_no_list_of_files_on_the_driver(spark, tmp_path, small):
     loaded = load_contents(spark, files)
     assert {(r.book_id, r.path, bytes(r.content)) for r in loaded.collect()} == {(f"b{i}", f"file:{tmp_path}/b{i}/a.png", b"x%d" % i) for i in range(3)}
     assert [(r.book_id, r.folder, r.reason) for r in rejects.collect()] == [("b3", f"{tmp_path}/b3", "not_found")]
-    for df in (loaded, load_root(spark, str(tmp_path)), queries.QUERIES["saved_images"](spark, small)):
+    for df in (loaded, load_root(spark, str(tmp_path)), queries.QUERIES["saved_images"](spark, small), queries.QUERIES["saved_records"](spark, small)):
         assert "binaryFile" not in plan(df)
 
 
