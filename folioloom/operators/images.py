@@ -20,6 +20,8 @@ from folioloom.plans.schemas import IMAGES
 
 #: Names of resampling filters that a config may use.
 RESAMPLING = ("NEAREST", "BILINEAR", "BICUBIC", "LANCZOS")
+#: Encoded pictures leave Python in frames of so many bytes or rows.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1_000
 
 
 @dataclass(frozen=True)
@@ -100,19 +102,29 @@ def process_images(sources: DataFrame, config: ImageConfig = ImageConfig(), code
     """
     codec = codec or PillowCodec()
 
+    def rows_of(row):
+        page = -1
+        try:
+            if row.content is None:
+                raise FileNotFoundError("the file could not be read")
+            for page, (data, width, height) in enumerate(codec.pictures(bytes(row.content), row.kind == "pdf", config)):
+                yield row.book_id, row.idx, row.path, page, data, width, height, "ok", None
+        except Exception as error:
+            yield row.book_id, row.idx, row.path, page + 1, None, None, None, "failed", f"{type(error).__name__}: {error}"
+
     def run(batches):
+        # A frame for each picture would cost more than most codecs do; one for all would hold a whole PDF.
+        out, size = [], 0
         for batch in batches:
             for row in batch.itertuples(index=False):
-                out, page = [], -1
-                try:
-                    if row.content is None:
-                        raise FileNotFoundError("the file could not be read")
-                    for page, (data, width, height) in enumerate(codec.pictures(bytes(row.content), row.kind == "pdf", config)):
-                        out.append((row.book_id, row.idx, row.path, page, data, width, height, "ok", None))
-                except Exception as error:
-                    out.append((row.book_id, row.idx, row.path, page + 1, None, None, None, "failed", f"{type(error).__name__}: {error}"))
-                if out:
-                    yield pd.DataFrame(out, columns=IMAGES.names)
+                for found in rows_of(row):
+                    out.append(found)
+                    size += len(found[4] or b"")
+                    if size >= BATCH_BYTES or len(out) == BATCH_ROWS:
+                        yield pd.DataFrame(out, columns=IMAGES.names, dtype=object)
+                        out, size = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=IMAGES.names, dtype=object)
 
     return sources.select("book_id", "idx", "path", "kind", "content").mapInPandas(run, IMAGES)
 

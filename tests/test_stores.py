@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from test_catalogue import put
 
 from folioloom import queries
+from folioloom.operators import images
 from folioloom.sources.folders import in_book_of, list_folders, literal_glob, load_contents, load_files, load_root, scan_root
 from folioloom.sources.stores import address_of
 
@@ -37,6 +38,35 @@ def test_scan_is_that_of_sparks_reader(spark, tmp_path):
     assert {(r.path, r.length) for r in scan_root(spark, str(tmp_path)).collect()} == {w[:2] for w in want}
 
 
+class Direct:
+    """A table whose Python functions are handed out instead of run."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInPandas(self, run, schema):
+        return run
+
+
+def test_pictures_leave_python_in_few_frames(monkeypatch):
+    import pandas as pd
+
+    made = []
+    kind = pd.DataFrame
+    rows = [("b", i, "p", "image", b"x" * (i % 5) if i % 7 else None) for i in range(2500)]
+    held = kind(rows, columns=["book_id", "idx", "path", "kind", "content"])
+    run = images.process_images(Direct(), codec=images.PassThroughCodec())
+    monkeypatch.setattr(images.pd, "DataFrame", lambda *a, **b: made.append(1) or kind(*a, **b))
+    found = list(run([held[:1200], held[1200:]]))
+    assert len(made) == 3 and sum(map(len, found)) == 2500
+    got = {r.idx: (r.status, r.data) for f in found for r in f.itertuples()}
+    assert got == {i: ("ok", b"x" * (i % 5)) if i % 7 and i % 5 else ("failed", None) for i in range(2500)}
+    # Frames end by bytes too, also within one file of many pages.
+    monkeypatch.setattr(images, "BATCH_BYTES", 30)
+    pdf = kind({"book_id": ["b"], "idx": [2**60 + 1], "path": ["p"], "kind": ["pdf"], "content": [b"/Type /Page\n" * 9]})
+    assert [len(f) for f in run([pdf])] == [1] * 9
+
+
 def test_addresses():
     at = lambda p, base="file:": address_of(p, base, "/here")
     assert [at(p) for p in ("/a//b/", "file:/a/b", "file:///a/b", "c", "s3://k/a/")] == ["file:/a/b", "file:/a/b", "file:/a/b", "file:/here/c", "s3://k/a"]
